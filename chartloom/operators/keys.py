@@ -6,8 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .skew import Skew, grid_join
-
 
 def unpivot_keys(
     df: DataFrame,
@@ -26,13 +24,11 @@ def unpivot_keys(
     )
 
 
-def join_any_key(
-    left: DataFrame, keys: Sequence[str], right: DataFrame, key: str, skew: Skew = Skew()
-) -> DataFrame:
+def join_any_key(left: DataFrame, keys: Sequence[str], right: DataFrame, key: str) -> DataFrame:
     """Inner join where the right key equals any of several left keys.
 
     Repeated keys in a row count once, as with ``IN``. The list becomes rows, so
     the join hashes on one key instead of comparing every pair.
     """
     candidates = F.array_compact(F.array_distinct(F.array(*keys)))
-    return grid_join(left.withColumn(key, F.explode(candidates)), right, [key], skew=skew)
+    return left.withColumn(key, F.explode(candidates)).join(right, key)

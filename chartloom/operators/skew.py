@@ -1,4 +1,8 @@
-"""Joins and rankings that stay balanced when one key holds a large share of all rows."""
+"""Rankings that stay balanced when one key holds a large share of all rows.
+
+Plain equi joins need nothing here: adaptive execution splits an oversized join
+partition, and a single hot key with it, from the sizes seen at run time.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 @dataclass(frozen=True)
 class Skew:
-    """When a key counts as hot and how finely it is divided.
+    """When a key counts as hot.
 
     At most ``max_keys`` keys are treated as hot. A key outside the most
     frequent ``max_keys`` holds less than ``1 / max_keys`` of the rows, so it
@@ -19,7 +23,6 @@ class Skew:
 
     min_rows: int = 500_000
     max_keys: int = 1_000
-    max_pieces: int = 256
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], skew: Skew) -> DataFrame:
@@ -34,79 +37,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], skew: Skew) -> DataFrame:
     )
 
 
-def _pieces(rows: Column, skew: Skew) -> Column:
-    return F.least(F.ceil(rows / skew.min_rows), F.lit(skew.max_pieces)).cast("int")
-
-
-def grid_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    condition: Column | None = None,
-    left_cells: Column | None = None,
-    right_cell: Column | None = None,
-    skew: Skew = Skew(),
-) -> DataFrame:
-    """Inner equi join in which hot keys are divided into a grid.
-
-    For a hot key each side is cut into pieces by a row hash and every piece of
-    one side meets every piece of the other exactly once. ``left_cells`` (an
-    array) and ``right_cell`` add a further equality for hot keys only, for
-    callers that can tell which rows may match, such as time cells.
-    """
-    keys = list(keys)
-    clash = (set(left.columns) & set(right.columns)) - set(keys)
-    if clash:
-        raise ValueError(f"rename columns found on both sides: {sorted(clash)}")
-
-    hot = (
-        hot_keys(left, keys, skew)
-        .select(*keys, _pieces(F.col("_rows"), skew).alias("_lp"), F.lit(1).alias("_rp"))
-        .unionByName(
-            hot_keys(right, keys, skew).select(
-                *keys, F.lit(1).alias("_lp"), _pieces(F.col("_rows"), skew).alias("_rp")
-            )
-        )
-        .groupBy(*keys)
-        .agg(F.max("_lp").alias("_lp"), F.max("_rp").alias("_rp"))
-    )
-
-    def mark(df: DataFrame) -> DataFrame:
-        # Two top-k tables: never more than 2 * max_keys rows.
-        return df.join(F.broadcast(hot), keys, "left")
-
-    def piece(df: DataFrame, count: str) -> Column:
-        hashed = F.pmod(F.xxhash64(*df.columns), F.col(count)).cast("int")
-        return F.when(F.col(count) > 1, hashed).otherwise(0)
-
-    def all_pieces(count: str) -> Column:
-        return F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1)
-
-    is_hot = F.col("_lp").isNotNull()
-    nowhere = F.lit(0).cast("long")
-    cells = F.array(nowhere) if left_cells is None else F.when(is_hot, left_cells).otherwise(F.array(nowhere))
-    cell = nowhere if right_cell is None else F.when(is_hot, right_cell).otherwise(nowhere)
-
-    divided_left = (
-        mark(left)
-        .withColumn("_l", piece(left, "_lp"))
-        .withColumn("_r", F.explode(all_pieces("_rp")))
-        .withColumn("_cell", F.explode(cells))
-        .drop("_lp", "_rp")
-    )
-    divided_right = (
-        mark(right)
-        .withColumn("_r", piece(right, "_rp"))
-        .withColumn("_l", F.explode(all_pieces("_lp")))
-        .withColumn("_cell", cell)
-        .drop("_lp", "_rp")
-    )
-    joined = divided_left.join(divided_right, [*keys, "_l", "_r", "_cell"])
-    if condition is not None:
-        joined = joined.where(condition)
-    return joined.drop("_l", "_r", "_cell")
-
-
 def ranked(
     df: DataFrame,
     keys: Sequence[str],
@@ -127,20 +57,15 @@ def ranked(
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
     hot = F.broadcast(hot_keys(df, keys, skew).select(*keys, F.lit(True).alias("_hot")))
-    split = df.join(hot, keys, "left").withColumn("_bucket", F.when(F.col("_hot"), bucket))
-    counts = split.where("_hot").groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    leading = _same_direction(order[0], F.col("_bucket"))
+    # Text without nulls, so that the join and the window below share one shuffle.
+    part = F.when(F.col("_hot"), F.coalesce(bucket.cast("string"), F.lit("none"))).otherwise("")
+    split = df.join(hot, keys, "left").withColumn("_part", part)
+    counts = split.where("_hot").groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min(bucket).alias("_b"))
+    leading = _same_direction(order[0], F.col("_b"))
     before = Window.partitionBy(*keys).orderBy(leading).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-    )
-    match = F.col("_bucket").eqNullSafe(F.col("_b")) & F.col("_hot")
-    for i, k in enumerate(keys):
-        match = match & (F.col(k) == F.col(f"_k{i}"))
-    local = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
-    return split.join(offsets, match, "left").select(
+    offsets = counts.select(*keys, "_part", F.sum("_n").over(before).alias("_offset"))
+    local = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    return split.join(offsets, [*keys, "_part"], "left").select(
         *df.columns, (local + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(name)
     )
 

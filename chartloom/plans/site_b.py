@@ -9,14 +9,14 @@ from chartloom.functions.dates import age_in_years, parse_dates, registry_date,
 from chartloom.functions.text import blank_to_null, mapped
 from chartloom.operators.cohorts import matching
 from chartloom.operators.lookups import lookup, lookup_chain, normalize_codes, practice_location, prefer
-from chartloom.operators.picks import down, first_per, rank_all, spread_top, up
+from chartloom.operators.picks import down, first_per, spread_top, up
 from chartloom.operators.privacy import limited_dataset
-from chartloom.operators.skew import Skew
 from chartloom.sources.catalog import Catalog
 
 from .stages import Stages
 
 STAGES = Stages()
+SHARED = {"analytics_b.cancer_patient_demographic"}
 
 # Input contracts.
 CONTRACTS = {
@@ -127,10 +127,6 @@ PALLIATIVE_QUESTIONS = ["B0030", "B0031", "B0032", "B0033", "B0034"]
 STUDY_TYPES = {"B0035": "Interventional", "B0036": "Observational", "B0037": "Expanded Access"}
 
 
-def _skew(cat: Catalog) -> Skew:
-    return cat.option("skew", Skew())
-
-
 def _people(cat: Catalog, *columns: str) -> DataFrame:
     return cat["analytics_b.cancer_patient_demographic"].select("pat_id", *columns)
 
@@ -254,18 +250,17 @@ def cancer_naaccr_dx_date(cat: Catalog) -> DataFrame:
     )
 
 
-@STAGES("analytics_b.cancer_prime_onc")
+@STAGES.ranked("analytics_b.cancer_prime_onc", "sign_datetime", ["primary_oncologist"], newest_first=True)
 def cancer_prime_onc(cat: Catalog) -> DataFrame:
     staged = cat["source_b.v_cancer_staging"].where("most_recent_contact_yn = 'Y'")
     signers = cat["reference_b.clarity_emp"].select(F.col("user_id").alias("sign_user_id"), F.col("name").alias("primary_oncologist"))
-    signed = (
+    return (
         _people(cat)
         .join(cat["source_b.dm_cancer_problem"], "pat_id")
         .join(staged, "problem_list_id")
         .join(signers, "sign_user_id")
         .select("pat_id", "sign_datetime", "primary_oncologist")
     )
-    return rank_all(signed, ["pat_id"], "sign_datetime", ["primary_oncologist"], newest_first=True, skew=_skew(cat))
 
 
 @STAGES("analytics_b.cancer_research_reporting")
@@ -343,35 +338,32 @@ def cancer_chemo_combine_startdate(cat: Catalog) -> DataFrame:
     return first_per(both, ["pat_id"], [up("start_date"), up("medication_name"), up("route")], n=2, rank="row")
 
 
-def _radiation(cat: Catalog, component: str, newest_first: bool) -> DataFrame:
+def _radiation(cat: Catalog, component: str) -> DataFrame:
     results = cat["source_b.order_results"].where(F.col("component_id") == component)
-    dated = (
+    return (
         results.join(cat["source_b.order_proc"].select("order_proc_id", "pat_id"), "order_proc_id")
         .join(_people(cat).distinct(), "pat_id", "left_semi")
         .select("pat_id", parse_dates(F.col("ord_value")).alias("converted_date"), "ord_value")
         .distinct()
     )
-    return rank_all(
-        dated, ["pat_id"], "converted_date", ["ord_value"], newest_first=newest_first, name="row", skew=_skew(cat)
-    )
 
 
-@STAGES("analytics_b.cancer_rad_startdate")
+@STAGES.ranked("analytics_b.cancer_rad_startdate", "converted_date", ["ord_value"], rank="row")
 def cancer_rad_startdate(cat: Catalog) -> DataFrame:
-    return _radiation(cat, RADIATION_START, newest_first=False)
+    return _radiation(cat, RADIATION_START)
 
 
-@STAGES("analytics_b.cancer_rad_enddate")
+@STAGES.ranked("analytics_b.cancer_rad_enddate", "converted_date", ["ord_value"], newest_first=True, rank="row")
 def cancer_rad_enddate(cat: Catalog) -> DataFrame:
-    return _radiation(cat, RADIATION_END, newest_first=True)
+    return _radiation(cat, RADIATION_END)
 
 
-@STAGES("analytics_b.cancer_sw_referral_startdate")
+@STAGES.ranked("analytics_b.cancer_sw_referral_startdate", "ordering_date", ["sw_referral_response", "sw_referral_comment"])
 def cancer_sw_referral_startdate(cat: Catalog) -> DataFrame:
     asked = cat["source_b.ord_spec_quest"].where(F.col("ord_quest_id") == SOCIAL_WORK_QUESTION)
     asked = asked.join(cat["reference_b.cl_qquest"].select(F.col("quest_id").alias("ord_quest_id")), "ord_quest_id")
     orders = cat["source_b.order_proc"].select(F.col("order_proc_id").alias("order_id"), "pat_id", "ordering_date")
-    answers = (
+    return (
         asked.join(orders, "order_id")
         .join(_people(cat).distinct(), "pat_id", "left_semi")
         .groupBy(
@@ -382,22 +374,18 @@ def cancer_sw_referral_startdate(cat: Catalog) -> DataFrame:
         )
         .agg(F.max(F.when(F.col("ord_quest_id") == SOCIAL_WORK_QUESTION, "Y").otherwise("N")).alias("social_work_referral"))
     )
-    return rank_all(
-        answers, ["pat_id"], "ordering_date", ["sw_referral_response", "sw_referral_comment"], skew=_skew(cat)
-    )
 
 
 def _procedure_referrals(cat: Catalog, procedures: list[str]) -> DataFrame:
     wanted = cat["source_b.referral_px"].where(F.col("px_id").isin(procedures))
     names = cat["reference_b.clarity_eap"].withColumnRenamed("proc_id", "px_id")
-    referred = (
+    return (
         _people(cat, "site_b_patient_key")
         .join(cat["source_b.referral"], "pat_id")
         .join(wanted, "referral_id")
         .join(names, "px_id")
         .select("pat_id", "site_b_patient_key", "referral_id", "entry_date", "proc_name", "sched_status_c")
     )
-    return rank_all(referred, ["pat_id"], "entry_date", ["referral_id", "proc_name"], skew=_skew(cat))
 
 
 def _specialty_referrals(cat: Catalog, specialty: str) -> DataFrame:
@@ -408,44 +396,42 @@ def _specialty_referrals(cat: Catalog, specialty: str) -> DataFrame:
         referred, cat["reference_b.clarity_dep"], {"refd_to_dept_id": "department_id"}, {"department_name": "department_name"}
     )
     columns = ["pat_id", "site_b_patient_key", "referral_id", "entry_date", "prov_spec_c", "sched_status_c", "department_name"]
-    once = referred.select(*columns).dropDuplicates(columns)
-    return rank_all(once, ["pat_id"], "entry_date", ["referral_id", "department_name"], skew=_skew(cat))
+    return referred.select(*columns).dropDuplicates(columns)
 
 
-@STAGES("analytics_b.cancer_psych_referral_startdate")
+@STAGES.ranked("analytics_b.cancer_psych_referral_startdate", "entry_date", ["referral_id", "proc_name"])
 def cancer_psych_referral_startdate(cat: Catalog) -> DataFrame:
     return _procedure_referrals(cat, PSYCHOLOGY_PROCEDURES)
 
 
-@STAGES("analytics_b.cancer_reprod_referral_startdate")
+@STAGES.ranked("analytics_b.cancer_reprod_referral_startdate", "entry_date", ["referral_id", "department_name"])
 def cancer_reprod_referral_startdate(cat: Catalog) -> DataFrame:
     return _specialty_referrals(cat, REPRODUCTIVE_SPECIALTY)
 
 
-@STAGES("analytics_b.cancer_genetics_referral_startdate")
+@STAGES.ranked("analytics_b.cancer_genetics_referral_startdate", "entry_date", ["referral_id", "department_name"])
 def cancer_genetics_referral_startdate(cat: Catalog) -> DataFrame:
     return _specialty_referrals(cat, GENETICS_SPECIALTY)
 
 
-@STAGES("analytics_b.cancer_nutrition_referral_startdate")
+@STAGES.ranked("analytics_b.cancer_nutrition_referral_startdate", "entry_date", ["referral_id", "proc_name"])
 def cancer_nutrition_referral_startdate(cat: Catalog) -> DataFrame:
     return _procedure_referrals(cat, NUTRITION_PROCEDURES)
 
 
-@STAGES("analytics_b.cancer_childlife_startdate")
+@STAGES.ranked("analytics_b.cancer_childlife_startdate", "child_life_contact_date", ["site_b_patient_key"])
 def cancer_childlife_startdate(cat: Catalog) -> DataFrame:
     specialists = (
         cat["reference_b.clarity_ser"]
         .where(F.col("prov_type") == CHILD_LIFE_PROVIDER)
         .select(F.col("prov_id").alias("visit_prov_id"))
     )
-    visits = (
+    return (
         cat["source_b.pat_enc"]
         .join(specialists, "visit_prov_id")
         .join(_people(cat, "site_b_patient_key"), "pat_id")
         .select("pat_id", "site_b_patient_key", F.col("contact_date").alias("child_life_contact_date"))
     )
-    return rank_all(visits, ["pat_id"], "child_life_contact_date", skew=_skew(cat))
 
 
 @STAGES("analytics_b.cancer_fertility_sde")
@@ -473,17 +459,17 @@ def cancer_fertility_stxt_note(cat: Catalog) -> DataFrame:
     )
 
 
-@STAGES("analytics_b.cancer_fertility_combine")
+@STAGES.ranked("analytics_b.cancer_fertility_combine", "fertility_referral_date")
 def cancer_fertility_combine(cat: Catalog) -> DataFrame:
     noted = matching(cat["analytics_b.cancer_fertility_stxt_note"], "note_text_comb", include=[FERTILITY_WANTED])
     accepted = matching(cat["analytics_b.cancer_fertility_sde"], "smrtdta_elem_value", exclude=FERTILITY_REFUSED)
     both = noted.select("pat_id", F.col("date_of_servic_dttm").alias("fertility_referral_date")).union(
         accepted.select("pat_link_id", "cur_value_datetime")
     )
-    return rank_all(_people(cat).join(both, "pat_id"), ["pat_id"], "fertility_referral_date", skew=_skew(cat))
+    return _people(cat).join(both, "pat_id")
 
 
-@STAGES("analytics_b.cancer_palliative_care")
+@STAGES.ranked("analytics_b.cancer_palliative_care", "ordering_date")
 def cancer_palliative_care(cat: Catalog) -> DataFrame:
     orders = (
         _people(cat)
@@ -494,8 +480,7 @@ def cancer_palliative_care(cat: Catalog) -> DataFrame:
         F.col("ord_quest_id").isin(PALLIATIVE_QUESTIONS) & F.col("ord_quest_resp").isNotNull()
     )
     answered = lookup(answered, cat["reference_b.cl_qquest"], {"ord_quest_id": "quest_id"}, ["quest_name"])
-    asked = orders.join(answered, "order_id").select("pat_id", "ordering_date")
-    return rank_all(asked, ["pat_id"], "ordering_date", skew=_skew(cat))
+    return orders.join(answered, "order_id").select("pat_id", "ordering_date")
 
 
 # Supportive-care stages, their date column, and the name it takes in the patient model.
@@ -540,11 +525,11 @@ def cancer_combine_wo_dx_name(cat: Catalog) -> DataFrame:
         [up(dated), up("primary_dx_code_10"), up("secondary1_dx_code_10"), up("secondary2_dx_code_10")],
     )
     visit_dx = first_per(cat["analytics_b.cancer_dx"], patient, [up("earliest_diagnosis_date"), up("icd10_dx1")])
-    oncologist = first_per(cat["analytics_b.cancer_prime_onc"], patient, [up("rank")]).select("pat_id", "primary_oncologist")
-    chemo = first_per(cat["analytics_b.cancer_chemo_combine_startdate"], patient, [up("row")]).select(
+    oncologist = STAGES.first(cat, "analytics_b.cancer_prime_onc").select("pat_id", "primary_oncologist")
+    chemo = cat["analytics_b.cancer_chemo_combine_startdate"].where("row = 1").select(
         "pat_id", F.col("start_date").alias("chemo_start_date"), F.col("route").alias("chemo_route_type")
     )
-    radiation = first_per(cat["analytics_b.cancer_rad_startdate"], patient, [up("row")]).select(
+    radiation = STAGES.first(cat, "analytics_b.cancer_rad_startdate").select(
         "pat_id", F.col("ord_value").alias("radiation_start_date")
     )
     studies = cat["analytics_b.cancer_research_reporting"].select(
@@ -555,7 +540,7 @@ def cancer_combine_wo_dx_name(cat: Catalog) -> DataFrame:
     for side in (registry, visit_dx, oncologist, chemo, radiation):
         full = full.join(side, "pat_id", "left")
     for stage, (column, name) in SUPPORT.items():
-        side = first_per(cat[stage], patient, [up("rank")]).select("pat_id", F.col(column).alias(name))
+        side = STAGES.first(cat, stage).select("pat_id", F.col(column).alias(name))
         if stage == "analytics_b.cancer_childlife_startdate" and cat.option("child_life_needs_oncologist", True):
             side = side.join(oncologist.select("pat_id"), "pat_id", "left_semi")
         full = full.join(side, "pat_id", "left")

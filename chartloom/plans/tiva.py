@@ -10,7 +10,7 @@ from chartloom.operators.keys import join_any_key, unpivot_keys
 from chartloom.operators.lookups import lookup
 from chartloom.operators.pivots import conditional_totals
 from chartloom.operators.reports import qa_report
-from chartloom.operators.skew import Skew, grid_join
+from chartloom.operators.skew import Skew
 from chartloom.operators.windows import within_window
 from chartloom.sources.catalog import Catalog
 
@@ -18,6 +18,7 @@ from .preop import CONTRACTS as PREOP_CONTRACTS
 from .stages import Stages
 
 STAGES = Stages()
+SHARED = {"analytics.tiva_cohort"}
 
 # Descriptive columns of a medication administration and of a patient, in output order.
 MEDICATION_TEXT = (
@@ -136,7 +137,6 @@ def tiva_cohort(cat: Catalog) -> DataFrame:
         ["primary_anesthesia_encounter_id", "secondary_anesthesia_encounter_id"],
         cat["clinical.encounters"].select("encounter_id", "inpatient_data_id"),
         "encounter_id",
-        skew=_skew(cat),
     ).drop("encounter_id")
 
     agent_documents = (
@@ -217,8 +217,7 @@ def tiva_medication_administrations(cat: Catalog) -> DataFrame:
     given = cat["clinical.medication_administration"].select(
         canonical_id(F.col("encounter_id")).alias("_encounter"), *MEDICATION_TEXT
     )
-    joined = grid_join(encounters, given, ["_encounter"], skew=_skew(cat))
-    return joined.drop("_encounter").distinct()
+    return encounters.join(given, "_encounter").drop("_encounter").distinct()
 
 
 @STAGES("analytics.tiva_vital_signs")

@@ -37,7 +37,9 @@ class Catalog:
     """Resolves names to DataFrames: published tables, then sources, then stages.
 
     A stage that has not been published is composed lazily and kept, so stages
-    that share it build on one DataFrame.
+    that share it build on one DataFrame. Stages named in ``shared`` are stored
+    in ``workspace`` on first use: many others read them, and reading a stored
+    cohort beats computing it again in every branch of a plan.
     """
 
     def __init__(
@@ -47,6 +49,8 @@ class Catalog:
         stages: Mapping[str, Stage] | None = None,
         contracts: Mapping[str, str] | None = None,
         options: Mapping[str, object] | None = None,
+        shared: Iterable[str] = (),
+        workspace: Sink | None = None,
     ):
         self.spark = spark
         self._sources = sources
@@ -54,6 +58,9 @@ class Catalog:
         self._contracts = dict(contracts or {})
         self._resolved: dict[str, DataFrame] = {}
         self.options = dict(options or {})
+        self._shared = set(shared) if workspace is not None else set()
+        self._workspace = workspace
+        self._stored: set[str] = set()
 
     def option(self, name: str, default):
         return self.options.get(name, default)
@@ -63,13 +70,22 @@ class Catalog:
             df = self._source(name)
             if df is not None and name in self._contracts:
                 df = conform(df, StructType.fromDDL(self._contracts[name]), name)
-            if df is None and name in self._stages:
+            if df is not None:
+                self._stored.add(name)
+            elif name in self._stages:
                 df = self._stages[name](self)
+                if name in self._shared:
+                    df = self._workspace.publish(name, df)
+                    self._stored.add(name)
             if df is None:
                 return None
             self._resolved[name] = df
         return self._resolved[name]
 
+    def is_stored(self, name: str) -> bool:
+        """Whether ``name`` has been read from a source or published, not merely composed."""
+        return name in self._stored or self._source(name) is not None
+
     def __getitem__(self, name: str) -> DataFrame:
         df = self.find(name)
         if df is None:
@@ -86,8 +102,8 @@ class Catalog:
         """Rebuild stages in the given order; later ones read what earlier ones stored."""
         done = {}
         for name in names:
-            self._resolved.pop(name, None)
             done[name] = self._resolved[name] = sink.publish(name, self._stages[name](self))
+            self._stored.add(name)
         return done
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,14 +53,14 @@ class ViewSink:
         return df
 
 
-def checkpointed(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Cut the lineage of a long plan in the cluster's shared checkpoint folder.
+def shared_workspace(spark: SparkSession, fallback: str | None = None) -> ParquetSink:
+    """A sink in the folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``fallback_dir`` is used only when the session names no folder.
+    ``fallback`` is used only where the session names none, as in tests. Each
+    workspace has its own subfolder, to be removed when its results are no
+    longer needed.
     """
-    spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or fallback_dir
-    if shared is None:
+    root = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if root is None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    spark.sparkContext.setCheckpointDir(shared)
-    return df.checkpoint()
+    return ParquetSink(spark, f"{root.rstrip('/')}/chartloom-{uuid.uuid4().hex}")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chartloom.functions.arrays import array_text
 from chartloom.session import tune
 from chartloom.sources.catalog import Catalog
+from chartloom.sources.sinks import shared_workspace
 
 from .roles import TABLES, compose, cte_names
 
@@ -43,6 +48,14 @@ def check(name: str, sql: str | None = None):
     return add
 
 
+@functools.cache
+def _scratch() -> str:
+    """Folder for sessions that name no shared one, removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="chartloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def role_frame(tables: Tables, sql: str) -> DataFrame:
     """A role text over the driver's tables."""
     import re
@@ -53,9 +66,10 @@ def role_frame(tables: Tables, sql: str) -> DataFrame:
     return tables.spark.sql(sql)
 
 
-def role_catalog(tables: Tables, roles, stages, contracts, **options) -> Catalog:
+def role_catalog(tables: Tables, roles, stages, contracts, shared=(), **options) -> Catalog:
     sources = {name: (lambda text=sql: role_frame(tables, text)) for name, sql in roles.items()}
-    return Catalog(tables.spark, sources, stages, contracts, options)
+    workspace = shared_workspace(tables.spark, _scratch())
+    return Catalog(tables.spark, sources, stages, contracts, options, shared, workspace)
 
 
 def arrays_as_text(df: DataFrame) -> DataFrame:
@@ -64,7 +78,7 @@ def arrays_as_text(df: DataFrame) -> DataFrame:
     return df.select(*[array_text(F.col(c)).alias(c) if kinds[c].startswith("array") else c for c in df.columns])
 
 
-def register_datasets(roles, stages, contracts, sql: dict[str, str], names: dict[str, str], **options) -> None:
+def register_datasets(roles, stages, contracts, sql: dict[str, str], names: dict[str, str], shared=(), **options) -> None:
     """One query per stage: ``names`` maps a query name to a stage, ``sql`` holds stage texts by CTE name."""
     known = {**cte_names(roles), **sql}
 
@@ -73,7 +87,7 @@ def register_datasets(roles, stages, contracts, sql: dict[str, str], names: dict
 
         @check(query, compose(f"SELECT * FROM {cte}", known) if cte in sql else None)
         def build(tables: Tables) -> DataFrame:
-            return arrays_as_text(role_catalog(tables, roles, stages, contracts, **options)[stage])
+            return arrays_as_text(role_catalog(tables, roles, stages, contracts, shared, **options)[stage])
 
     for query, stage in names.items():
         add(query, stage)
