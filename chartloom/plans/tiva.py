@@ -18,7 +18,7 @@ from .preop import CONTRACTS as PREOP_CONTRACTS
 from .stages import Stages
 
 STAGES = Stages()
-SHARED = {"analytics.tiva_cohort"}
+SHARED = {"tiva_anesthesia_encounters", "analytics.tiva_cohort"}
 
 # Descriptive columns of a medication administration and of a patient, in output order.
 MEDICATION_TEXT = (
@@ -123,22 +123,38 @@ def _positive_agent_doses(cat: Catalog) -> DataFrame:
     )
 
 
-@STAGES("analytics.tiva_cohort")
-def tiva_cohort(cat: Catalog) -> DataFrame:
-    """Cases given propofol and no volatile agent, one row per matched anesthesia encounter.
-
-    Both evidence sets shrink to distinct keys before they meet the cases.
-    """
+@STAGES("tiva_anesthesia_encounters")
+def tiva_anesthesia_encounters(cat: Catalog) -> DataFrame:
+    """Candidate cases with each anesthesia encounter they map to."""
     linked = cat["analytics.surgical_candidate_cohort"].join(
         cat["clinical.surgical_encounter_map"], "surgery_encounter_id"
     )
-    cases = join_any_key(
+    return join_any_key(
         linked,
         ["primary_anesthesia_encounter_id", "secondary_anesthesia_encounter_id"],
         cat["clinical.encounters"].select("encounter_id", "inpatient_data_id"),
         "encounter_id",
-    ).drop("encounter_id")
+    ).select(
+        "patient_id",
+        "admission_encounter_id",
+        "surgery_encounter_id",
+        "case_id",
+        "log_id",
+        "scheduled_start_time",
+        "anesthesia_types",
+        "primary_anesthesia_encounter_id",
+        "secondary_anesthesia_encounter_id",
+        "inpatient_data_id",
+    )
+
 
+@STAGES("analytics.tiva_cohort")
+def tiva_cohort(cat: Catalog) -> DataFrame:
+    """Cases given propofol and no volatile agent, one row per matched anesthesia encounter.
+
+    Both evidence sets shrink to distinct keys before they meet the cases.
+    """
+    cases = cat["tiva_anesthesia_encounters"]
     agent_documents = (
         cat["clinical.flowsheet_measurements"]
         .where(F.col("measure_id").isin(VOLATILE_MEASURES) & (to_number(F.col("measure_value")) > 0))
@@ -156,22 +172,7 @@ def tiva_cohort(cat: Catalog) -> DataFrame:
     propofol_logs = (
         cohort(cases, "primary_anesthesia_encounter_id", include=[dosed.distinct()]).select("log_id").distinct()
     )
-    return (
-        cohort(cases, "log_id", include=[propofol_logs], exclude=[volatile_logs])
-        .select(
-            "patient_id",
-            "admission_encounter_id",
-            "surgery_encounter_id",
-            "case_id",
-            "log_id",
-            "scheduled_start_time",
-            "anesthesia_types",
-            "primary_anesthesia_encounter_id",
-            "secondary_anesthesia_encounter_id",
-            "inpatient_data_id",
-        )
-        .distinct()
-    )
+    return cohort(cases, "log_id", include=[propofol_logs], exclude=[volatile_logs]).distinct()
 
 
 @STAGES("analytics.tiva_final_cohort")

@@ -29,7 +29,7 @@ class ParquetSink:
     def publish(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").partitionBy(*self.partition_by.get(name, [])).parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 class TableSink:

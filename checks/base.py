@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import functools
+import re
 import shutil
 import tempfile
 from collections.abc import Callable
@@ -21,6 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_SCHEMAS: dict = {}  # read from each file once, so that later reads start no job
+
+
 class Tables:
     """The driver's tables by attribute."""
 
@@ -31,7 +35,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def check(name: str, sql: str | None = None):
@@ -58,8 +65,6 @@ def _scratch() -> str:
 
 def role_frame(tables: Tables, sql: str) -> DataFrame:
     """A role text over the driver's tables."""
-    import re
-
     used = {w for w in re.findall(r"[a-z_]+", sql) if w in TABLES}
     for name in used:
         getattr(tables, name).createOrReplaceTempView(name)
