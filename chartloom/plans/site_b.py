@@ -221,8 +221,7 @@ def cancer_dx(cat: Catalog) -> DataFrame:
     )
 
 
-@STAGES("analytics_b.cancer_naaccr_dx_date")
-def cancer_naaccr_dx_date(cat: Catalog) -> DataFrame:
+def _registry(cat: Catalog, dedupe: bool) -> DataFrame:
     """Registry diagnoses with a readable date and dotted codes, ICD-10 before ICD-9.
 
     Six-digit dates are completed by option ``registry_day``.
@@ -246,10 +245,16 @@ def cancer_naaccr_dx_date(cat: Catalog) -> DataFrame:
         },
         codes("reference_b.edg_current_icd10"),
         codes("reference_b.edg_current_icd9"),
-        dedupe=cat.option("dedupe", False),
+        dedupe=dedupe,
     )
 
 
+@STAGES("analytics_b.cancer_naaccr_dx_date")
+def cancer_naaccr_dx_date(cat: Catalog) -> DataFrame:
+    """A registry row repeats for every pair of code-table entries it matches, unless option ``dedupe``."""
+    return _registry(cat, cat.option("dedupe", False))
+
+
 @STAGES.ranked("analytics_b.cancer_prime_onc", "sign_datetime", ["primary_oncologist"], newest_first=True)
 def cancer_prime_onc(cat: Catalog) -> DataFrame:
     staged = cat["source_b.v_cancer_staging"].where("most_recent_contact_yn = 'Y'")
@@ -483,16 +488,16 @@ def cancer_palliative_care(cat: Catalog) -> DataFrame:
     return orders.join(answered, "order_id").select("pat_id", "ordering_date")
 
 
-# Supportive-care stages, their date column, and the name it takes in the patient model.
+# Supportive-care stages and the name their first date takes in the patient model.
 SUPPORT = {
-    "analytics_b.cancer_nutrition_referral_startdate": ("entry_date", "nutrition_referral_date"),
-    "analytics_b.cancer_childlife_startdate": ("child_life_contact_date", "child_life_referral_date"),
-    "analytics_b.cancer_reprod_referral_startdate": ("entry_date", "reproductive_med_referral_date"),
-    "analytics_b.cancer_sw_referral_startdate": ("ordering_date", "social_work_referral_date"),
-    "analytics_b.cancer_genetics_referral_startdate": ("entry_date", "genetics_referral_date"),
-    "analytics_b.cancer_psych_referral_startdate": ("entry_date", "psychology_referral_date"),
-    "analytics_b.cancer_fertility_combine": ("fertility_referral_date", "fertility_referral_date"),
-    "analytics_b.cancer_palliative_care": ("ordering_date", "palliative_care_referral_date"),
+    "analytics_b.cancer_nutrition_referral_startdate": "nutrition_referral_date",
+    "analytics_b.cancer_childlife_startdate": "child_life_referral_date",
+    "analytics_b.cancer_reprod_referral_startdate": "reproductive_med_referral_date",
+    "analytics_b.cancer_sw_referral_startdate": "social_work_referral_date",
+    "analytics_b.cancer_genetics_referral_startdate": "genetics_referral_date",
+    "analytics_b.cancer_psych_referral_startdate": "psychology_referral_date",
+    "analytics_b.cancer_fertility_combine": "fertility_referral_date",
+    "analytics_b.cancer_palliative_care": "palliative_care_referral_date",
 }
 PATIENT = (
     "pat_id patient_display_name number_of_visits site_b_patient_key birth_date sex primary_race ethnicity city zip"
@@ -500,7 +505,7 @@ PATIENT = (
     " dx_1_code dx_2_code dx_3_code primary_oncologist"
 ).split()
 PLANS = "treatment_plan_count treatment_plan_names first_treatment_plan_order_date".split()
-TREATMENT = ["chemo_start_date", "chemo_route_type", "radiation_start_date", *[name for _, name in SUPPORT.values()]]
+TREATMENT = ["chemo_start_date", "chemo_route_type", "radiation_start_date", *SUPPORT.values()]
 
 
 @STAGES("analytics_b.cancer_combine_wo_dx_name")
@@ -517,15 +522,19 @@ def cancer_combine_wo_dx_name(cat: Catalog) -> DataFrame:
         F.countDistinct("pat_enc_csn_id").alias("number_of_visits")
     )
     dated = F.col("formatted_date_of_diagnosis_n390")
+    # The pick takes the smallest codes, which the folded code tables hold already.
+    stage = "analytics_b.cancer_naaccr_dx_date"
     registry = first_per(
-        cat["analytics_b.cancer_naaccr_dx_date"].select(
+        (cat[stage] if cat.is_stored(stage) else _registry(cat, dedupe=True)).select(
             "pat_id", dated, "primary_dx_code_10", "secondary1_dx_code_10", "secondary2_dx_code_10"
         ),
         patient,
         [up(dated), up("primary_dx_code_10"), up("secondary1_dx_code_10"), up("secondary2_dx_code_10")],
     )
     visit_dx = first_per(cat["analytics_b.cancer_dx"], patient, [up("earliest_diagnosis_date"), up("icd10_dx1")])
-    oncologist = STAGES.first(cat, "analytics_b.cancer_prime_onc").select("pat_id", "primary_oncologist")
+    oncologist = STAGES.first(cat, "analytics_b.cancer_prime_onc").select(
+        "pat_id", "primary_oncologist", F.lit(True).alias("_has_oncologist")
+    )
     chemo = cat["analytics_b.cancer_chemo_combine_startdate"].where("row = 1").select(
         "pat_id", F.col("start_date").alias("chemo_start_date"), F.col("route").alias("chemo_route_type")
     )
@@ -539,11 +548,12 @@ def cancer_combine_wo_dx_name(cat: Catalog) -> DataFrame:
     full = cat["analytics_b.cancer_patient_demographic"].join(visits, "pat_id")
     for side in (registry, visit_dx, oncologist, chemo, radiation):
         full = full.join(side, "pat_id", "left")
-    for stage, (column, name) in SUPPORT.items():
-        side = STAGES.first(cat, stage).select("pat_id", F.col(column).alias(name))
-        if stage == "analytics_b.cancer_childlife_startdate" and cat.option("child_life_needs_oncologist", True):
-            side = side.join(oncologist.select("pat_id"), "pat_id", "left_semi")
-        full = full.join(side, "pat_id", "left")
+    full = full.join(STAGES.first_values(cat, SUPPORT), "pat_id", "left")
+    for name in SUPPORT.values():
+        kept = F.col(name) if name == "fertility_referral_date" else F.col(name).cast("date")
+        if name == "child_life_referral_date" and cat.option("child_life_needs_oncologist", True):
+            kept = F.when(F.col("_has_oncologist"), kept)
+        full = full.withColumn(name, kept)
     full = full.join(cat["analytics_b.cancer_treatment_plan_summary"], "pat_id", "left")
     full = full.join(studies.distinct(), "pat_id", "left")
 

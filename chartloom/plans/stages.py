@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -65,6 +66,25 @@ class Stages(dict):
 
         return add
 
+    def first_values(self, cat: Catalog, names: Mapping[str, str]) -> DataFrame:
+        """Value of the leading column in each stage's first row, as one row per key.
+
+        ``names`` maps stages that rank ascending to output columns. A first row
+        holds the smallest value, so all stages are stacked and reduced by one
+        aggregate instead of a sort and a join each. Values come back as
+        timestamps.
+        """
+        keys = list(self._rankings[next(iter(names))].keys)
+        stacked = []
+        for stage, out in names.items():
+            ranking = self._rankings[stage]
+            if ranking.newest_first or list(ranking.keys) != keys:
+                raise ValueError(f"{stage} does not rank ascending by {keys}")
+            rows = self.first(cat, stage) if cat.is_stored(stage) else ranking.rows(cat)
+            stacked.append(rows.select(*keys, F.lit(out).alias("_out"), F.col(ranking.by).cast("timestamp_ntz").alias("_value")))
+        firsts = [F.min(F.when(F.col("_out") == out, F.col("_value"))).alias(out) for out in names.values()]
+        return reduce(DataFrame.union, stacked).groupBy(*keys).agg(*firsts)
+
     def first(self, cat: Catalog, name: str) -> DataFrame:
         """The rows numbered 1.
 
