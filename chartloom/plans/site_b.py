@@ -16,7 +16,11 @@ from chartloom.sources.catalog import Catalog
 from .stages import Stages
 
 STAGES = Stages()
-SHARED = {"analytics_b.cancer_patient_demographic"}
+SHARED = {
+    "analytics_b.cancer_patient_demographic",
+    "analytics_b.cancer_combine_wo_dx_name",
+    "analytics_b.fh_cancer_reporting",
+}
 
 # Input contracts.
 CONTRACTS = {

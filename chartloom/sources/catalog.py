@@ -99,7 +99,12 @@ class Catalog:
         return None if make is None else make()
 
     def refresh(self, sink: Sink, names: Iterable[str]) -> dict[str, DataFrame]:
-        """Rebuild stages in the given order; later ones read what earlier ones stored."""
+        """Rebuild stages in the given order; later ones read what earlier ones stored.
+
+        Frames composed before are dropped, as they may read files replaced here.
+        """
+        for name in [n for n in self._resolved if n in self._stages and n not in self._stored]:
+            del self._resolved[name]
         done = {}
         for name in names:
             done[name] = self._resolved[name] = sink.publish(name, self._stages[name](self))

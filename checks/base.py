@@ -71,10 +71,21 @@ def role_frame(tables: Tables, sql: str) -> DataFrame:
     return tables.spark.sql(sql)
 
 
+_CATALOGS: dict = {}
+
+
 def role_catalog(tables: Tables, roles, stages, contracts, shared=(), **options) -> Catalog:
-    sources = {name: (lambda text=sql: role_frame(tables, text)) for name, sql in roles.items()}
-    workspace = shared_workspace(tables.spark, _scratch())
-    return Catalog(tables.spark, sources, stages, contracts, options, shared, workspace)
+    """The catalog of a group of datasets, one per session and folder.
+
+    Queries of a group therefore read the same stored cohort, as the published
+    scripts do, instead of storing one each.
+    """
+    key = (tables.spark.sparkContext.applicationId, tables.folder, id(roles), id(stages), str(options))
+    if key not in _CATALOGS:
+        sources = {name: (lambda text=sql: role_frame(tables, text)) for name, sql in roles.items()}
+        workspace = shared_workspace(tables.spark, _scratch())
+        _CATALOGS[key] = Catalog(tables.spark, sources, stages, contracts, options, shared, workspace)
+    return _CATALOGS[key]
 
 
 def arrays_as_text(df: DataFrame) -> DataFrame:
