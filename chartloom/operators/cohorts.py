@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from chartloom.functions.text import mapped
+
 
 def cohort(
     base: DataFrame,
@@ -29,12 +31,15 @@ def inline_rows(df: DataFrame, rows: Sequence[tuple], schema: str) -> DataFrame:
 
 
 def with_codes(df: DataFrame, column: str, codes: Mapping[str, str] | Iterable[str], label: str | None = None) -> DataFrame:
-    """Keep rows whose code is on a fixed list; a mapping also adds its label."""
-    if isinstance(codes, Mapping):
-        table = inline_rows(df, sorted(codes.items()), f"{column} string, {label} string")
-        # A literal of the calling code, so its size is known here.
-        return df.join(F.broadcast(table), column)
-    return df.where(F.col(column).isin(list(codes)))
+    """Keep rows whose code is on a fixed list; a mapping also adds its label.
+
+    The list is part of the expression, so the scan can skip on it and no join
+    is needed.
+    """
+    kept = df.where(F.col(column).isin(list(codes)))
+    if isinstance(codes, Mapping) and label:
+        return kept.withColumn(label, mapped(F.col(column), dict(codes)))
+    return kept
 
 
 def categorize(df: DataFrame, code: str, categories: Mapping[str, Sequence[str]], name: str) -> DataFrame:

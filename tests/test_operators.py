@@ -114,6 +114,7 @@ def test_code_lists(rows):
     df = rows([("a",), ("b",), ("z",), (None,)], "c string")
     assert found(with_codes(df, "c", {"a": "A", "b": "B"}, "n")) == [("a", "A"), ("b", "B")]
     assert found(with_codes(df, "c", ["z"])) == [("z",)]
+    assert "Join" not in plan_of(with_codes(df, "c", {"a": "A"}, "n"))
     assert found(categorize(df, "c", {"early": ["a", "b"]}, "cat").select("c", "cat")) == [("a", "early"), ("b", "early")]
 
 

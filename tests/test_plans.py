@@ -237,7 +237,22 @@ def test_publishing_and_refresh(spark, tiva_tables, tmp_path):
     assert "parquet" in cat["analytics.tiva_cohort"]._jdf.queryExecution().executedPlan().toString().lower()
     ViewSink().publish("temp.cohort", cat["analytics.tiva_cohort"])
     assert spark.table("temp_cohort").count() == 3
-    assert shared_workspace(spark, str(tmp_path)).root.startswith(str(tmp_path))
+
+
+def test_workspace_uses_the_folder_of_the_session(spark, tmp_path):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = shared_workspace(spark, str(tmp_path)).root, shared_workspace(spark, str(tmp_path)).root
+    assert first.startswith(f"{named or tmp_path}/") and first != second
+    if named is None:
+        with pytest.raises(ValueError):
+            shared_workspace(spark)
+
+
+def test_shared_stages_are_stored_once(spark, tiva_tables, tmp_path):
+    cat = catalog(spark, tiva, tiva_tables)
+    shared = Catalog(spark, cat._source, tiva.STAGES, tiva.CONTRACTS, shared=tiva.SHARED, workspace=ParquetSink(spark, str(tmp_path)))
+    assert shared["analytics.tiva_demographics"].count() == 0
+    assert {p.name for p in tmp_path.iterdir()} == tiva.SHARED
 
 
 def test_contracts_and_tables(spark, tmp_path):
