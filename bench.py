@@ -1,4 +1,7 @@
-"""Time the headline queries and print one JSON line."""
+"""Time the headline queries and print one JSON line.
+
+Queries of one dataset group share a stored cohort; the first of them to run pays for it.
+"""
 
 from __future__ import annotations
 
