@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, langid, packing, shared, tokens, warc
+from . import bpe, exact, langid, packing, pii, shared, tokens, urls, warc
 from .ship import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -59,6 +59,20 @@ def op5(docs: DataFrame) -> DataFrame:
     return tokens.token_counts(docs, public_tokenizers.path(WORD_BPE), limit=2048)
 
 
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query("op6_url_filters", "pages")
+def op6(pages: DataFrame) -> DataFrame:
+    return urls.url_verdicts(pages, URL_RULES)
+
+
 @query("op7_bpe_round_trip", "documents")
 def op7(docs: DataFrame) -> DataFrame:
     return bpe.bpe_round_trip(docs, public_tokenizers.path(WORD_BPE))
@@ -80,3 +94,11 @@ def op8(docs: DataFrame) -> DataFrame:
 @query("op9_best_fit_packing", "documents")
 def op9(docs: DataFrame) -> DataFrame:
     return packing.best_fit_packing(packing.token_pieces(docs, public_tokenizers.path(WORD_BPE)))
+
+
+@query("op10_personal_data", "documents")
+def op10(docs: DataFrame) -> DataFrame:
+    found = pii.personal_data(docs)
+    counts = [F.size(F.filter("base", pii.of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    digest = F.sha2(pii.as_text(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
