@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, langid, packing, pii, shared, tokens, urls, warc
+from . import bpe, exact, jaccard, langid, packing, pii, shared, tokens, urls, warc
 from .ship import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -29,6 +29,12 @@ def query(name: str, table: str, sql: str | None = None):
     return add
 
 
+@query("op2_ngram_jaccard", "documents")
+def op2(docs: DataFrame) -> DataFrame:
+    found = jaccard.near_duplicate_groups(docs, width=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 @query("op3_language_id", "documents")
 def op3(docs: DataFrame) -> DataFrame:
     return langid.language_id(docs, public_tokenizers.path(PIECES))
