@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, jaccard, langid, packing, pii, shared, tokens, urls, warc
+from . import bpe, exact, jaccard, langid, packing, pii, shared, tokens, urls, vectors, warc
 from .ship import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -29,6 +29,11 @@ def query(name: str, table: str, sql: str | None = None):
     return add
 
 
+@query("op1_embedding_near_dedup", "embeddings")
+def op1(rows: DataFrame) -> DataFrame:
+    return vectors.near_duplicate_vectors(rows)
+
+
 @query("op2_ngram_jaccard", "documents")
 def op2(docs: DataFrame) -> DataFrame:
     found = jaccard.near_duplicate_groups(docs, width=4, percent=85)
