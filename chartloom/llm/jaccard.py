@@ -29,13 +29,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .batches import coded, filled, slices, spread, words
 from .components import components
-from .shared import cut, stored
+from .shared import cut, sent_if_small, stored
 
 SHARE = 0.25
 HOT = 32
 LONGEST = 4  # the largest l
 PIVOT_ROUNDS = 2
-BROADCAST_IDS = 1_000_000
 SLICE_BYTES = 8 << 20
 BOUND = int(SHARE * 2**64) - 2**63  # hashes are stored as signed numbers, in the same order
 
@@ -161,9 +160,7 @@ def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     known = known.withColumn("entries", _within(longest))
     known = cut(known.where(~F.col("enough") | (F.size("entries") > 0)))
 
-    ids = known.select("id")
-    if known.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = sent_if_small(known.select("id"))
     full = stored(full_sets(texts.join(ids, "id", "left_semi"), width))
 
     wide = known.where(~F.col("enough"))

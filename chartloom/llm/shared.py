@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,3 +31,9 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/chartloom-llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sent_if_small(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``ids`` written once and marked for broadcast if there are at most ``most``; else a join shuffles."""
+    ids = cut(ids)
+    return F.broadcast(ids) if ids.count() <= most else ids
