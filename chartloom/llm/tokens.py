@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import array
 import functools
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,10 +12,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import SPACES, coded, filled, row_sums, slices, words
+from .batches import SPACES, coded, filled, row_sums, slices, spread, words
 
 PART_BYTES = 1 << 20  # a longer text is encoded in parts
 ENCODE_BYTES = 1 << 18  # texts given to the tokenizer at once
+KNOWN_WORDS = 400_000  # words whose ids a Python worker remembers
 
 
 @functools.lru_cache(maxsize=4)
@@ -35,8 +38,6 @@ def splits_at_spaces(path: str) -> bool:
     """Whether the file's pre-tokenizer drops white space, so that every space is a safe boundary."""
     if not path.endswith(".json"):
         return False
-    import json
-
     with open(path, encoding="utf-8") as file:
         described = json.load(file)
     steps = (described.get("pre_tokenizer") or {}).get("pretokenizers", [])
@@ -85,21 +86,63 @@ def safe_parts(text: bytes, limit: int = PART_BYTES) -> list[bytes]:
     return [*parts, text[start:]]
 
 
+@functools.lru_cache(maxsize=4)
+def _folds(path: str) -> bool:
+    """Whether the file lower-cases texts and never joins letters or digits with other characters."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    normal = [n["type"] for n in (described.get("normalizer") or {}).get("normalizers", [])]
+    cut = [s["pattern"].get("Regex", "") for s in described["pre_tokenizer"]["pretokenizers"] if s["type"] == "Split"]
+    return "Lowercase" in normal and cut[0].endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+_KNOWN: dict[str, dict[str, bytes]] = {}  # by file: ids of words that this Python worker has met
+
+
+def _known_ids(path: str, texts: list[str]) -> list[bytes]:
+    """Ids of each word as 32-bit numbers; the library sees only words that are new to this worker."""
+    known = _KNOWN.setdefault(path, {})
+    found = list(map(known.get, texts))
+    new = [i for i, f in enumerate(found) if f is None]
+    for i, ids in zip(new, encode_texts(path, [texts[i] for i in new]), strict=True):
+        found[i] = array.array("I", ids).tobytes()
+        if len(known) < KNOWN_WORDS:
+            known[texts[i]] = found[i]
+    return found
+
+
 def word_ids(path: str, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of distinct words one after the other, with offsets."""
-    lists = encode_texts(path, distinct.to_pylist())
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
-    return flat, np.concatenate([[0], np.cumsum(sizes)])
+    """Ids of distinct words one after the other, with offsets.
+
+    Where the file's rules allow it, words are taken in lower case and without trailing stops and
+    commas, whose ids follow, so that fewer different words need encoding. Words with a ``<`` stay
+    as they are, for they may hold special strings.
+    """
+    if not _folds(path):
+        flat = _known_ids(path, distinct.to_pylist())
+        sizes = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
+        return np.frombuffer(b"".join(flat), np.uint32), np.concatenate([[0], np.cumsum(sizes)])
+    special = pc.match_substring(distinct, "<")
+    lower = pc.if_else(special, distinct, pc.ascii_lower(distinct))
+    core = pc.utf8_rtrim(lower, ".,")
+    whole = pc.or_(special, pc.ends_with(core, "İ"))  # its lower case ends in a mark, which joins stops
+    apart = pc.and_(pc.match_substring_regex(core, r"[\p{L}\p{N}]$"), pc.invert(whole))
+    core = pc.if_else(apart, core, lower)
+    cores, names = coded(core)
+    tails, ends = coded(pc.if_else(apart, pc.replace_substring_regex(lower, r"^.*?([.,]*)$", r"\1"), ""))
+    parts = np.stack([cores, tails.astype(np.int64) + len(names)], axis=1).ravel()
+    flat = _known_ids(path, names.to_pylist() + ends.to_pylist())
+    sizes = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
+    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    ids = np.frombuffer(b"".join(flat), np.uint32)[spread(starts[parts], sizes[parts])]
+    return ids, np.concatenate([[0], np.cumsum(sizes[parts].reshape(-1, 2).sum(axis=1))])
 
 
 def _counts(texts: pa.Array, path: str, by_word: bool) -> np.ndarray:
     if by_word:
         offsets, flat = words(texts)
         codes, distinct = coded(flat)
-        lists = encode_texts(path, distinct.to_pylist())
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        return row_sums(sizes[codes], offsets)
+        return row_sums(np.diff(word_ids(path, distinct)[1])[codes], offsets)
     return np.fromiter(map(len, encode_texts(path, texts.to_pylist())), np.int64, len(texts))
 
 
