@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .skew import Skew, ranked
+from .skew import ranked
 
 
 def up(column: str | Column) -> Column:
@@ -44,11 +44,9 @@ def rank_all(
     ties: Sequence[str] = (),
     newest_first: bool = False,
     name: str = "rank",
-    skew: Skew = Skew(),
 ) -> DataFrame:
     """Number all rows of a key by ``by``; ``ties`` settle equal values."""
-    leading = down(by) if newest_first else up(by)
-    return ranked(df, keys, [leading, *map(up, ties)], name, bucket=F.col(by), skew=skew)
+    return ranked(df, keys, by, [*map(up, ties)], newest_first, name)
 
 
 def spread_top(

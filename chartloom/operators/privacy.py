@@ -24,15 +24,19 @@ def deidentify(
     keep: Sequence[str],
     dates: Iterable[str],
     tokens: Mapping[str, str] | None = None,
-    secret: str = "",
+    secret: str | None = None,
 ) -> DataFrame:
     """Limited dataset whose times move by a constant number of days per patient.
 
-    ``tokens`` maps an id column to the name of the keyed hash that replaces it.
+    ``tokens`` maps an id column to the name of the keyed hash that replaces it;
+    a hash without a secret could be undone by trying all ids, so one is required.
+    Patients without a number of days have no rows, as their dates cannot be moved.
     """
+    if tokens and not secret:
+        raise ValueError("tokens need a secret")
     move = F.make_dt_interval(F.col("_shift"))
     swap = crosswalk.select(key, F.col(surrogate).alias("_surrogate"), F.col(shift_days).cast("int").alias("_shift"))
-    joined = df.join(swap, key)
+    joined = df.join(swap.where("_shift IS NOT NULL"), key)
     out = [F.col("_surrogate").alias(surrogate)]
     for column, name in (tokens or {}).items():
         out.append(F.sha2(F.concat(F.lit(secret), F.lit("|"), F.col(column)), 256).alias(name))

@@ -7,73 +7,39 @@ partition, and a single hot key with it, from the sizes seen at run time.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-@dataclass(frozen=True)
-class Skew:
-    """When a key counts as hot.
-
-    At most ``max_keys`` keys are treated as hot. A key outside the most
-    frequent ``max_keys`` holds less than ``1 / max_keys`` of the rows, so it
-    needs no division, and the table of hot keys is small enough to broadcast.
-    """
-
-    min_rows: int = 500_000
-    max_keys: int = 1_000
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], skew: Skew) -> DataFrame:
-    """The keys with at least ``min_rows`` rows, and their row counts."""
-    present = df.select(*keys).dropna()
-    return (
-        present.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .orderBy(F.desc("_rows"))
-        .limit(skew.max_keys)
-        .where(F.col("_rows") >= skew.min_rows)
-    )
-
-
 def ranked(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    by: str | Column,
+    ties: Sequence[Column] = (),
+    newest_first: bool = False,
     name: str = "rank",
-    bucket: Column | None = None,
-    skew: Skew = Skew(),
 ) -> DataFrame:
-    """Number every row within its keys.
+    """Number every row within its keys by ``by``, then by ``ties``.
 
-    ``bucket`` is the plain expression of the leading ``order`` entry. When it
-    is given, a hot key is numbered bucket by bucket: rows are counted per
-    bucket, the running totals become offsets, and each bucket is sorted on its
-    own, so no task sorts the whole key.
+    Ascending order has nulls last, ``newest_first`` has them first. Rows are
+    counted per key and value, with partial counts in every task; running totals
+    of these counts are the offsets of the values, and rows are numbered within
+    key and value. So no task sorts a whole key, whatever its size; null keys
+    and null values are groups like any other.
     """
-    keys = list(keys)
-    if bucket is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-
-    hot = F.broadcast(hot_keys(df, keys, skew).select(*keys, F.lit(True).alias("_hot")))
-    # Text without nulls, so that the join and the window below share one shuffle.
-    part = F.when(F.col("_hot"), F.coalesce(bucket.cast("string"), F.lit("none"))).otherwise("")
-    split = df.join(hot, keys, "left").withColumn("_part", part)
-    counts = split.where("_hot").groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min(bucket).alias("_b"))
-    leading = _same_direction(order[0], F.col("_b"))
-    before = Window.partitionBy(*keys).orderBy(leading).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_part", F.sum("_n").over(before).alias("_offset"))
-    local = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
-    return split.join(offsets, [*keys, "_part"], "left").select(
-        *df.columns, (local + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(name)
+    value = F.col(by) if isinstance(by, str) else by
+    groups = [f"_k{i}" for i in range(len(keys))]
+    split = df.withColumns({g: F.col(k) for g, k in zip(groups, keys, strict=True)} | {"_value": value})
+    counts = split.groupBy(*groups, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    leading = F.col("_value").desc_nulls_first() if newest_first else F.col("_value").asc_nulls_last()
+    before = Window.partitionBy(*groups).orderBy(leading).rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"{c}_of" for c in (*groups, "_value")]
+    offsets = counts.select(
+        *[F.col(c).alias(n) for c, n in zip((*groups, "_value"), names, strict=True)], F.sum("_n").over(before).alias("_offset")
     )
-
-
-def _same_direction(order: Column, column: Column) -> Column:
-    text = str(order)
-    descending = " DESC" in text
-    first = "NULLS FIRST" in text
-    if descending:
-        return column.desc_nulls_first() if first else column.desc_nulls_last()
-    return column.asc_nulls_first() if first else column.asc_nulls_last()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip((*groups, "_value"), names, strict=True)])
+    within = Window.partitionBy(*groups, "_value").orderBy(*(ties or [F.lit(0)]))
+    numbered = split.withColumn("_local", F.row_number().over(within))
+    rank = (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int")
+    return numbered.join(offsets, same).select(*df.columns, rank.alias(name))

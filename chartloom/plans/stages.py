@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from chartloom.operators.picks import down, first_per, rank_all, up
-from chartloom.operators.skew import Skew
 from chartloom.sources.catalog import Catalog, Stage
 
 
@@ -25,8 +24,7 @@ class Ranking:
     name: str
 
     def all(self, cat: Catalog) -> DataFrame:
-        skew = cat.option("skew", Skew())
-        return rank_all(self.rows(cat), self.keys, self.by, self.ties, self.newest_first, self.name, skew)
+        return rank_all(self.rows(cat), self.keys, self.by, self.ties, self.newest_first, self.name)
 
     def first(self, cat: Catalog) -> DataFrame:
         order = [down(self.by) if self.newest_first else up(self.by), *map(up, self.ties)]

@@ -10,7 +10,6 @@ from chartloom.operators.keys import join_any_key, unpivot_keys
 from chartloom.operators.lookups import lookup
 from chartloom.operators.pivots import conditional_totals
 from chartloom.operators.reports import qa_report
-from chartloom.operators.skew import Skew
 from chartloom.operators.windows import within_window
 from chartloom.sources.catalog import Catalog
 
@@ -112,10 +111,6 @@ BEFORE_START = "48 HOURS"
 CASE = ["patient_id", "admission_encounter_id", "surgery_encounter_id", "log_id", "scheduled_start_time"]
 
 
-def _skew(cat: Catalog) -> Skew:
-    return cat.option("skew", Skew())
-
-
 def _positive_agent_doses(cat: Catalog) -> DataFrame:
     given = matching(cat["clinical.medication_administration"], "medication_name", include=[AGENT])
     return given.withColumn("administered_dose", to_number(F.col("administered_dose"))).where(
@@ -296,7 +291,7 @@ def tiva_body_measurements(cat: Catalog) -> DataFrame:
     vitals = cat["clinical.patient_vitals"].withColumnRenamed("encounter_id", "measurement_encounter_id")
     cases = cat["analytics.tiva_cohort"].select(*CASE).distinct()
     found = within_window(
-        cases, vitals, "patient_id", "scheduled_start_time", "measurement_date", before=BEFORE_START, skew=_skew(cat)
+        cases, vitals, "patient_id", "scheduled_start_time", "measurement_date", before=BEFORE_START
     )
     return found.distinct()
 
@@ -318,7 +313,7 @@ def tiva_missing_body_measurements(cat: Catalog) -> DataFrame:
         .drop("flowsheet_document_id")
     )
     found = within_window(
-        lacking, measured, "patient_id", "scheduled_start_time", "recorded_datetime", before=BEFORE_START, skew=_skew(cat)
+        lacking, measured, "patient_id", "scheduled_start_time", "recorded_datetime", before=BEFORE_START
     )
     return lookup(found, cat["reference.flowsheet_measures"], "measure_id", ["measure_name"]).distinct()
 

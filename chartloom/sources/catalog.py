@@ -82,6 +82,10 @@ class Catalog:
             self._resolved[name] = df
         return self._resolved[name]
 
+    def compose(self, name: str) -> DataFrame:
+        """The stage's own plan, even if its rows have been stored; what it reads may be stored."""
+        return self._stages[name](self)
+
     def is_stored(self, name: str) -> bool:
         """Whether ``name`` has been read from a source or published, not merely composed."""
         return name in self._stored or self._source(name) is not None

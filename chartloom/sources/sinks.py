@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
+import tempfile
 import uuid
 from typing import Protocol
 
@@ -33,16 +37,22 @@ class ParquetSink:
 
 
 class TableSink:
-    """Tables of the session catalog; ``layer.name`` becomes ``layer_name`` in one database."""
+    """Tables of the session catalog, under the names that ``table_sources`` reads.
+
+    ``layer.name`` is table ``name`` of database ``layer``, which is made if it is missing; a
+    name without a layer goes to ``database``.
+    """
 
     def __init__(self, spark: SparkSession, database: str = "default"):
         self.spark = spark
         self.database = database
 
     def publish(self, name: str, df: DataFrame) -> DataFrame:
-        table = f"{self.database}.{name.replace('.', '_')}"
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
-        return self.spark.table(table)
+        layer, _, plain = name.rpartition(".")
+        layer = layer or self.database
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        df.write.mode("overwrite").format("parquet").saveAsTable(f"`{layer}`.`{plain}`")
+        return self.spark.table(f"`{layer}`.`{plain}`")
 
 
 class ViewSink:
@@ -53,14 +63,33 @@ class ViewSink:
         return df
 
 
-def shared_workspace(spark: SparkSession, fallback: str | None = None) -> ParquetSink:
-    """A sink in the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_workspace(spark: SparkSession) -> ParquetSink:
+    """A sink in a new subfolder of the folder that the session names in ``spark.checkpoint.dir``.
 
-    ``fallback`` is used only where the session names none, as in tests. Each
-    workspace has its own subfolder, to be removed when its results are no
-    longer needed.
+    The subfolder is removed when this program ends. A cluster must name the folder; only a
+    session of one process gets a temporary one, which that process alone reads.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if root is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return ParquetSink(spark, f"{root.rstrip('/')}/chartloom-{uuid.uuid4().hex}")
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        root = _own_folder()
+    path = f"{root.rstrip('/')}/chartloom-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return ParquetSink(spark, path)
+
+
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="chartloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is, unless the session has ended already."""
+    context = spark.sparkContext
+    if context._jsc is None:
+        return
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import functools
 import re
-import shutil
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -55,14 +51,6 @@ def check(name: str, sql: str | None = None):
     return add
 
 
-@functools.cache
-def _scratch() -> str:
-    """Folder for sessions that name no shared one, removed when the process ends."""
-    folder = tempfile.mkdtemp(prefix="chartloom-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
 def role_frame(tables: Tables, sql: str) -> DataFrame:
     """A role text over the driver's tables."""
     used = {w for w in re.findall(r"[a-z_]+", sql) if w in TABLES}
@@ -77,13 +65,13 @@ _CATALOGS: dict = {}
 def role_catalog(tables: Tables, roles, stages, contracts, shared=(), **options) -> Catalog:
     """The catalog of a group of datasets, one per session and folder.
 
-    Queries of a group therefore read the same stored cohort, as the published
-    scripts do, instead of storing one each.
+    Queries of a group therefore read the same stored cohorts, as the published
+    scripts do, instead of storing one each; a query composes its own stage anew.
     """
     key = (tables.spark.sparkContext.applicationId, tables.folder, id(roles), id(stages), str(options))
     if key not in _CATALOGS:
         sources = {name: (lambda text=sql: role_frame(tables, text)) for name, sql in roles.items()}
-        workspace = shared_workspace(tables.spark, _scratch())
+        workspace = shared_workspace(tables.spark)
         _CATALOGS[key] = Catalog(tables.spark, sources, stages, contracts, options, shared, workspace)
     return _CATALOGS[key]
 
@@ -103,7 +91,7 @@ def register_datasets(roles, stages, contracts, sql: dict[str, str], names: dict
 
         @check(query, compose(f"SELECT * FROM {cte}", known) if cte in sql else None)
         def build(tables: Tables) -> DataFrame:
-            return arrays_as_text(role_catalog(tables, roles, stages, contracts, shared, **options)[stage])
+            return arrays_as_text(role_catalog(tables, roles, stages, contracts, shared, **options).compose(stage))
 
     for query, stage in names.items():
         add(query, stage)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from chartloom.functions.arrays import array_text, distinct_text, ordered_array, ordered_text
 from chartloom.functions.dates import (
@@ -20,15 +20,15 @@ from chartloom.operators.harmonize import harmonize
 from chartloom.operators.keys import join_any_key, unpivot_keys
 from chartloom.operators.lookups import lookup, lookup_chain, normalize_codes, practice_location, prefer
 from chartloom.operators.picks import down, first_per, rank_all, spread_top, up
+from chartloom.operators.skew import ranked
 from chartloom.operators.pivots import conditional_totals, elements_pivot, pivot_first
 from chartloom.operators.privacy import deidentify, limited_dataset
 from chartloom.operators.reports import days_from, qa_report
-from chartloom.operators.skew import Skew
 from chartloom.operators.windows import within_window
 from chartloom.sources.catalog import Catalog
 from chartloom.sources.sinks import ViewSink, shared_workspace
 
-from .base import _scratch, check, role_frame
+from .base import check, role_frame
 from .datasets import element
 from .roles_oncology import DATE_TEXT
 
@@ -67,7 +67,7 @@ def _(t):
 
 @check("refreshed_output", "SELECT o_custkey, count(*) AS n_orders, max(CAST(o_orderdate AS DATE)) AS last_day FROM orders GROUP BY 1")
 def _(t):
-    sink = shared_workspace(t.spark, _scratch())
+    sink = shared_workspace(t.spark)
     sink.publish("orders_by_customer", t.orders.select("o_custkey").distinct())
     return sink.publish(
         "orders_by_customer",
@@ -262,21 +262,30 @@ _pairs = """SELECT a.o_custkey, a.o_orderkey AS anchor_key, b.o_orderkey AS reco
   AND CAST(b.o_orderdate AS DATE) <= CAST(a.o_orderdate AS DATE) + INTERVAL 1 YEAR"""
 
 
-def _order_pairs(t, skew):
+@check("temporal_window_join", _pairs)
+def _(t):
     anchors = t.orders.select("o_custkey", col("o_orderkey").alias("anchor_key"), order_day().alias("anchor_day"))
     records = t.orders.select("o_custkey", col("o_orderkey").alias("record_key"), order_day().alias("record_day"))
-    return within_window(anchors, records, "o_custkey", "anchor_day", "record_day", "2 YEARS", "1 YEAR", skew).drop("anchor_day")
+    return within_window(anchors, records, "o_custkey", "anchor_day", "record_day", "2 YEARS", "1 YEAR").drop("anchor_day")
 
 
-@check("temporal_window_join", _pairs)
-def _(t):
-    return _order_pairs(t, Skew())
+_busy_pairs = """SELECT a.l_orderkey AS anchor_order, a.l_linenumber AS anchor_line, b.o_orderkey AS record_key
+FROM (SELECT *, CASE WHEN l_linenumber < 4 THEN 0 ELSE l_suppkey END AS party FROM lineitem WHERE l_shipdate IS NOT NULL) a
+JOIN (SELECT *, CASE WHEN o_orderpriority < '3' THEN 0 ELSE o_custkey END AS party FROM orders) b ON a.party = b.party
+  AND CAST(b.o_orderdate AS DATE) >= CAST(a.l_shipdate AS DATE) - INTERVAL 1 DAY AND CAST(b.o_orderdate AS DATE) <= CAST(a.l_shipdate AS DATE)"""
 
 
-@check("temporal_window_join_hot_keys", _pairs)
+@check("temporal_window_join_hot_keys", _busy_pairs)
 def _(t):
-    """The same pairs with busy customers cut into time cells."""
-    return _order_pairs(t, Skew(min_rows=10))
+    """One party has more than a third of the rows on both sides."""
+    line = t.lineitem.select(
+        F.when(col("l_linenumber") < 4, 0).otherwise(col("l_suppkey")).alias("party"), col("l_orderkey").alias("anchor_order"),
+        col("l_linenumber").alias("anchor_line"), col("l_shipdate").cast("date").alias("anchor_day"),
+    )
+    order = t.orders.select(
+        F.when(col("o_orderpriority") < "3", 0).otherwise(col("o_custkey")).alias("party"), col("o_orderkey").alias("record_key"), order_day().alias("record_day")
+    )
+    return within_window(line, order, "party", "anchor_day", "record_day", "1 DAY").select("anchor_order", "anchor_line", "record_key")
 
 
 @check("semi_join", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
@@ -538,11 +547,14 @@ def _(t):
     return rank_all(t.orders, ["o_custkey"], "o_orderdate", ["o_orderkey"]).select("o_custkey", "o_orderkey", "rank")
 
 
-@check("rank_hot_keys", f"SELECT o_custkey, o_orderkey, {_row_number('o_orderdate DESC NULLS FIRST, o_orderkey')} AS rank FROM orders")
+_party = "CASE WHEN o_orderpriority < '4' THEN NULL ELSE o_custkey END"
+
+
+@check("rank_hot_keys", f"SELECT o_orderkey, {_row_number('o_orderdate DESC NULLS FIRST, o_orderkey', _party)} AS rank FROM orders")
 def _(t):
-    """The same ranks with busy customers numbered day by day."""
-    ranks = rank_all(t.orders, ["o_custkey"], "o_orderdate", ["o_orderkey"], newest_first=True, skew=Skew(min_rows=10))
-    return ranks.select("o_custkey", "o_orderkey", "rank")
+    """The null key has more than half of the rows."""
+    rows = t.orders.withColumn("party", F.when(col("o_orderpriority") >= "4", col("o_custkey")))
+    return rank_all(rows, ["party"], "o_orderdate", ["o_orderkey"], newest_first=True).select("o_orderkey", "rank")
 
 
 @check(
@@ -559,9 +571,8 @@ def _(t):
     f"""SELECT l_orderkey, l_partkey, {_row_number('l_shipdate, l_linenumber DESC, l_partkey, l_suppkey', 'l_orderkey')} AS position FROM lineitem""",
 )
 def _(t):
-    order = [up("l_shipdate"), down("l_linenumber"), up("l_partkey"), up("l_suppkey")]
-    position = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
-    return t.lineitem.select("l_orderkey", "l_partkey", position.alias("position"))
+    ties = [down("l_linenumber"), up("l_partkey"), up("l_suppkey")]
+    return ranked(t.lineitem, ["l_orderkey"], "l_shipdate", ties, name="position").select("l_orderkey", "l_partkey", "position")
 
 
 _grade = "CASE WHEN o_orderpriority < '3' THEN 'high' ELSE 'low' END"
@@ -624,7 +635,7 @@ def _(t):
 )
 def _(t):
     """A pick sorted by "rank is 1" would return any other row; the intended one is the lowest rank."""
-    return rank_all(t.orders, ["o_custkey"], "o_orderdate", ["o_orderkey"]).where("rank = 1").select("o_custkey", "o_orderkey")
+    return first_per(t.orders, ["o_custkey"], [up("o_orderdate"), up("o_orderkey")]).select("o_custkey", "o_orderkey")
 
 
 # ------------------------------------------------------------------ set operations

@@ -2,9 +2,10 @@
 
 import random
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from chartloom.operators.cohorts import categorize, cohort, matching, with_codes
 from chartloom.operators.harmonize import harmonize
@@ -14,8 +15,10 @@ from chartloom.operators.picks import down, first_per, rank_all, spread_top, up
 from chartloom.operators.pivots import elements_pivot, pivot_first
 from chartloom.operators.privacy import deidentify, limited_dataset
 from chartloom.operators.reports import qa_report
-from chartloom.operators.skew import Skew, hot_keys
+from chartloom.operators.skew import ranked
 from chartloom.operators.windows import within_window
+from chartloom.sources.catalog import Catalog, table_sources
+from chartloom.sources.sinks import TableSink
 
 from conftest import plan_of
 
@@ -32,9 +35,8 @@ def test_window_includes_both_ends_at_midnight(rows):
     assert {r["at"] for r in got.collect()} == {moments[0], moments[2]}
 
 
-@pytest.mark.parametrize("min_rows", [10**9, 1])
 @pytest.mark.parametrize("before, after", [("2 DAYS", "1 DAY"), ("5 HOURS", None), (None, "40 DAYS")])
-def test_window_join_equals_brute_force(rows, min_rows, before, after):
+def test_window_join_equals_brute_force(rows, before, after):
     """One key holds most rows; time cells must neither lose nor repeat a pair."""
     rnd = random.Random(7)
     start = datetime(2019, 12, 25)
@@ -48,7 +50,7 @@ def test_window_join_equals_brute_force(rows, min_rows, before, after):
     got = within_window(
         rows(anchors, "a int, k string, t timestamp_ntz"),
         rows(records, "r int, k string, u timestamp_ntz"),
-        "k", "t", "u", before, after, Skew(min_rows=min_rows),
+        "k", "t", "u", before, after,
     )
     assert sorted((r.a, r.r) for r in got.collect()) == expected
 
@@ -61,22 +63,23 @@ def test_window_join_plan_is_an_equi_join(rows):
         within_window(anchors, anchors, "k", "d", "d", "1 DAY")
 
 
-def test_hot_keys_are_bounded(rows):
-    df = rows([("a",)] * 9 + [("b",)] * 5 + [("c",)] * 2 + [(None,)] * 20, "k string")
-    assert found(hot_keys(df, ["k"], Skew(min_rows=3))) == [("a", 9), ("b", 5)]
-    assert found(hot_keys(df, ["k"], Skew(min_rows=3, max_keys=1))) == [("a", 9)]
-
-
 @pytest.mark.parametrize("newest_first", [False, True])
-def test_ranks_of_hot_keys_match_plain_ranks(rows, newest_first):
+@pytest.mark.parametrize("kind", ["date", "string", "timestamp_ntz", "decimal(9,2)"])
+def test_ranks_equal_a_plain_numbering(rows, newest_first, kind):
+    """A null key has most rows; null values, the text "none" and ties are ordered as in one window."""
     rnd = random.Random(3)
-    data = [(i, "hot" if i % 3 else f"k{i % 4}", None if rnd.random() < 0.1 else date(2020, 1, 1) + timedelta(days=rnd.randrange(6))) for i in range(150)]
-    df = rows(data, "i int, k string, d date")
-    plain = found(rank_all(df, ["k"], "d", ["i"], newest_first))
-    split = found(rank_all(df, ["k"], "d", ["i"], newest_first, skew=Skew(min_rows=10)))
-    assert plain == split
-    nulls = [r for r in plain if r[2] is None and r[1] == "hot"]
-    assert (1 in {r[3] for r in nulls}) == newest_first  # newest first puts nulls first
+    values = {
+        "date": [date(2020, 1, d) for d in range(1, 7)],
+        "string": ["abc", "none", "zeta", "", "NULL"],
+        "timestamp_ntz": [datetime(2020, 1, 1, h) for h in range(5)],
+        "decimal(9,2)": [Decimal(n) / 4 for n in range(-3, 4)],
+    }[kind]
+    data = [(i, None if i % 3 else f"k{i % 4}", None if rnd.random() < 0.15 else rnd.choice(values)) for i in range(150)]
+    df = rows(data, f"i int, k string, v {kind}")
+    order = F.col("v").desc_nulls_first() if newest_first else F.col("v").asc_nulls_last()
+    plain = df.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(order, "i")))
+    assert found(rank_all(df, ["k"], "v", ["i"], newest_first)) == found(plain)
+    assert found(ranked(df.limit(0), ["k"], "v", [up("i")])) == []
 
 
 def test_first_rows_and_null_order(rows):
@@ -183,6 +186,27 @@ def test_privacy(rows):
     assert row["at"] == datetime(2020, 1, 11, 8) and len(row["token"]) == 64
 
 
+def test_hashed_ids_need_a_secret(rows):
+    df = rows([("p", datetime(2020, 1, 1), "c1"), ("q", datetime(2020, 1, 1), "c2")], "k string, at timestamp_ntz, id string")
+    walk = rows([("p", "S1", 10), ("q", "S2", None)], "k string, s string, move int")
+    for secret in (None, ""):
+        with pytest.raises(ValueError):
+            deidentify(df, walk, "k", "s", "move", ["at"], ["at"], {"id": "token"}, secret=secret)
+    assert found(deidentify(df, walk, "k", "s", "move", ["at"], ["at"])) == [("S1", datetime(2020, 1, 11))]
+
+
+def test_published_tables_are_found_again(spark, rows):
+    """What one catalog publishes, a second one reads under the same name."""
+    stages = {"analytics.n": lambda cat: cat["raw"].groupBy("k").count()}
+    first = Catalog(spark, {"raw": lambda: rows([("a",), ("a",), ("b",)], "k string")}, stages)
+    first.refresh(TableSink(spark, "default"), ["analytics.n"])
+    try:
+        second = Catalog(spark, table_sources(spark))
+        assert found(second["analytics.n"]) == [("a", 2), ("b", 1)]
+    finally:
+        spark.sql("DROP DATABASE analytics CASCADE")
+
+
 def test_report_matches_counts(rows):
     a, b = rows([(1,), (1,), (None,)], "k int"), rows([], "k int")
     assert found(qa_report({"b": b, "a": a}, distinct="k")) == [("a", 3, 1), ("b", 0, 0)]
