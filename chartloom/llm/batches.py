@@ -13,8 +13,12 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 
 def filled(column: pa.Array) -> pa.Array:
-    """Texts with null read as empty."""
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    """Texts with null read as empty, in buffers of their own.
+
+    The copy matters: some Arrow functions read a slice's text from the wrong place.
+    """
+    own = column.take(pa.array(np.arange(len(column))))
+    return pc.fill_null(own.cast(pa.large_string()), "")
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -6,9 +6,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
+from chartloom.llm.batches import filled, slices, words
 from chartloom.llm.bpe import bpe_round_trip, vocabulary
 from chartloom.llm.packing import best_fit_packing, token_pieces, vector_best_fit
 from chartloom.llm.tokens import safe_parts, token_counts, word_ids
@@ -130,3 +132,15 @@ def test_best_fit_is_near_the_bound():
     tokens = np.random.default_rng(1).integers(1, 4097, 3000)
     place, _ = vector_best_fit(tokens, (4096.0, 4096.0, 4096.0**2), (1.0, 1e-6, 1e-6))
     assert len(np.unique(place)) <= 1.02 * tokens.sum() / 4096 + 1
+
+
+def test_slices_of_a_batch_keep_their_texts():
+    texts = [f"É text {i} " * (i % 7) for i in range(300)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(302)), pa.array(texts)], names=["id", "text"])
+    seen = []
+    for part in slices(batch, "text", 500):
+        own = filled(part["text"])
+        assert pc.ascii_lower(own).to_pylist() == [(t or "").replace("É", "\0").lower().replace("\0", "É") for t in part["text"].to_pylist()]
+        offsets, flat = words(own)
+        seen += [flat.to_pylist()[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    assert seen == [(t or "").split() for t in texts]
