@@ -59,7 +59,7 @@ def bucket_codes(x: np.ndarray, plan: Plan, seed: int = 17) -> np.ndarray:
 
     A hash is the signed coordinate of largest size after three rounds of random signs and a
     Hadamard transform. Probes replace coordinates by the next largest ones, in order of how much
-    smaller those are. Codes of different tables differ.
+    smaller those are; -1 stands for a missing one. Codes of different tables differ.
     """
     size = _padded(x.shape[1])
     x = np.pad(x, ((0, 0), (0, size - x.shape[1])))
@@ -81,9 +81,8 @@ def bucket_codes(x: np.ndarray, plan: Plan, seed: int = 17) -> np.ndarray:
             code = code * (2 * size) + name[:, choices[:, f]]
         pick = np.argsort(loss, axis=1, kind="stable")[:, : plan.probes + 1]
         got = np.take_along_axis(code, pick, 1)
-        if got.shape[1] < plan.probes + 1:  # tiny dimensions have fewer choices; repeat the own bucket
-            got = np.concatenate([got, np.repeat(got[:, :1], plan.probes + 1 - got.shape[1], axis=1)], axis=1)
-        out[:, table] = got
+        out[:, table] = -1  # tiny dimensions have fewer choices
+        out[:, table, : got.shape[1]] = got
     return out
 
 
@@ -187,7 +186,7 @@ def near_duplicate_vectors(vectors: DataFrame, id: str = "vec_id", vector: str =
 
     coded = stored(classes.select("class_id", "copies", "vector").mapInArrow(hashed, f"id {id_kind}, copies long, vector {vector_kind}, codes array<long>"))
     probes = F.create_map(*[F.lit(v) for d, p in plans.items() for v in (d, p.probes + 1)]) if plans else F.create_map(F.lit(0), F.lit(1))
-    spread = coded.select("*", F.size("vector").alias("d"), F.posexplode("codes").alias("at", "code"))
+    spread = coded.select("*", F.size("vector").alias("d"), F.posexplode("codes").alias("at", "code")).where("code >= 0")
     spread = spread.withColumn("per_table", probes[F.col("d")])
     spread = spread.withColumns({"table": F.floor(F.col("at") / F.col("per_table")).cast("int"), "own": F.col("at") % F.col("per_table") == 0})
     big = spread.groupBy("d", "code").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_ROWS).select("d", "code", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
