@@ -16,7 +16,7 @@ from .shared import stored
 from .tokens import encode_texts, splits_at_spaces, word_ids
 
 SHARD_ROWS = 40_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 def token_pieces(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", size: int = 4096, end_id: int = 1) -> DataFrame:

@@ -16,7 +16,7 @@ from .batches import SPACES, coded, filled, row_sums, slices, spread, words
 
 PART_BYTES = 1 << 20  # a longer text is encoded in parts
 ENCODE_BYTES = 1 << 18  # texts given to the tokenizer at once
-KNOWN_WORDS = 400_000  # words whose ids a Python worker remembers
+KNOWN_WORDS = 250_000  # words whose ids a Python worker remembers
 
 
 @functools.lru_cache(maxsize=4)
