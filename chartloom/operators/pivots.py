@@ -26,8 +26,16 @@ def elements_pivot(
     columns: Mapping[str, str | Sequence[str]],
     cast: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
-    """Key/value rows to columns: output name to element name(s); the largest value wins."""
+    """Key/value rows to columns: output name to element name(s); the largest value wins.
+
+    Repeated pairs are folded by a hash aggregate before the pivot, since a maximum of texts
+    would make every task sort its rows. Keys without any wanted element keep a row.
+    """
     cast = cast or {}
+    every = [e for wanted in columns.values() for e in ([wanted] if isinstance(wanted, str) else wanted)]
+    known = F.col(element).isin(every)
+    pairs = {element: F.when(known, F.col(element)), value: F.when(known, F.col(value))}
+    df = df.select(*keys, *[c.alias(n) for n, c in pairs.items()]).distinct()
     out = []
     for name, wanted in columns.items():
         names = [wanted] if isinstance(wanted, str) else list(wanted)
@@ -39,10 +47,16 @@ def elements_pivot(
 def conditional_totals(
     df: DataFrame, keys: Sequence[str], item: str, amount: Column, unit: str, items: Mapping[str, str]
 ) -> DataFrame:
-    """Total amount and unit of each item per key; ``items`` maps an item to a column stem."""
+    """Total amount and unit of each item per key; ``items`` maps an item to a column stem.
+
+    Amounts are added per key, item and unit by a hash aggregate; only these few rows are pivoted.
+    """
+    known = F.col(item).isin([*items])
+    df = df.select(*keys, F.when(known, F.col(item)).alias("_item"), F.when(known, F.col(unit)).alias("_unit"), amount.alias("_amount"))
+    df = df.groupBy(*keys, "_item", "_unit").agg(F.sum("_amount").alias("_amount"))
     out = []
     for code, stem in items.items():
-        hit = F.col(item) == code
-        out.append(F.sum(F.when(hit, amount).otherwise(0)).cast(NUMBER).alias(f"{stem}_total_dose"))
-        out.append(F.max(F.when(hit, F.col(unit))).alias(f"{stem}_dose_unit"))
+        hit = F.col("_item") == code
+        out.append(F.sum(F.when(hit, F.col("_amount")).otherwise(0)).cast(NUMBER).alias(f"{stem}_total_dose"))
+        out.append(F.max(F.when(hit, F.col("_unit"))).alias(f"{stem}_dose_unit"))
     return df.groupBy(*keys).agg(*out)

@@ -602,11 +602,12 @@ def fh_cancer_reporting(cat: Catalog) -> DataFrame:
         & (age < cat.option("max_age", 50))
         & (F.col("diagnosis_date").cast("date") >= F.lit(cat.option("since", "2015-01-01")).cast("date"))
     )
-    # One pass: a patient's few distinct studies are gathered, then counted inside the row.
-    name, kind = F.col("research_study_name"), F.col("study_type")
-    people = people.groupBy(*PATIENT, *TREATMENT).agg(
-        F.collect_set(F.when(name.isNotNull(), F.struct(name.alias("name"), F.coalesce(kind, F.lit("Other")).alias("kind")))).alias("_studies")
-    )
+    # A patient's few distinct studies are gathered from the study rows, then counted inside the row.
+    name, kind = F.col("research_study_name"), mapped(F.col("study_type_c"), STUDY_TYPES)
+    one = F.struct(name.alias("name"), F.coalesce(kind, F.lit("Other")).alias("kind"))
+    gathered = cat["analytics_b.cancer_research_reporting"].where(name.isNotNull()).groupBy("pat_id").agg(F.collect_set(one).alias("_studies"))
+    people = people.select(*PATIENT, *TREATMENT).distinct().join(gathered, "pat_id", "left")
+    people = people.withColumn("_studies", F.coalesce("_studies", F.array().cast(gathered.schema["_studies"].dataType)))
 
     def count(kind: str | None = None):
         rows = F.col("_studies") if kind is None else F.filter("_studies", lambda s: s["kind"] == kind)

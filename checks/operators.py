@@ -529,6 +529,14 @@ def _(t):
     return days.groupBy("o_custkey").agg(F.max("n").alias("busiest"), F.min("day").alias("first_day"))
 
 
+@check(
+    "age_today",
+    "SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), current_date) AS INTEGER) AS days, CAST(o_orderdate AS DATE) <= current_date AS past FROM orders",
+)
+def _(t):
+    return t.orders.select("o_orderkey", days_between(order_day(), F.current_date()).cast("int").alias("days"), (order_day() <= F.current_date()).alias("past"))
+
+
 # ------------------------------------------------------------------ windows, sort, top-k
 
 
