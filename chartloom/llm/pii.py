@@ -108,14 +108,14 @@ def loose_spans(text: Column) -> Column:
     return F.concat(*[_spans(text, k, LOOSE[k], _may_hold_loose(k, text)) for k in KINDS])
 
 
-def _with_cue(text: Column, spans: Column) -> Column:
-    """Spans with their cue: the two words to the left, in lower case, null if there are none."""
+def _with_cues(text: Column, spans: Column) -> Column:
+    """Spans with their cues: the word, and the two words, to the left, in lower case."""
 
     def one(s: Column) -> Column:
         begin = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        left = text.substr(begin + 1, s["start"] - begin)
-        cue = F.lower(F.regexp_extract(left, r"(\S+\s+\S+)[\s\"'(]*$", 1))
-        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.when(cue != "", cue).alias("cue"))
+        left = F.lower(text.substr(begin + 1, s["start"] - begin))
+        cues = [F.regexp_extract(left, rf"({words})[\s\"'(]*$", 1) for words in (r"\S+\s+\S+", r"(?<!\S)\S+")]
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.array_remove(F.array(*cues), "").alias("cues"))
 
     return F.transform(spans, one)
 
@@ -139,7 +139,7 @@ def learned_instances(edges: DataFrame, rounds: int, least_seeds: int, least_sco
     of (1 - cue score). Seeds always score 1. A cue needs ``least_seeds`` different seeds. Counts are
     combined in the tasks first, so a cue or value that very many documents share is a row per task.
     """
-    edges = cut(edges.where("cue IS NOT NULL").groupBy("cue", "kind", "value").agg(F.max("seed").alias("seed")))
+    edges = cut(edges.groupBy("cue", "kind", "value").agg(F.max("seed").alias("seed")))
     cues = edges.groupBy("cue").agg(F.count("*").alias("all_values"))
     strong = edges.where("seed = 1").groupBy("cue", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= least_seeds)
     graph = cut(edges.join(strong.drop("seeds"), ["cue", "kind"]).join(cues, "cue"))
@@ -159,8 +159,8 @@ def personal_data(
 ) -> DataFrame:
     """One row per document: id, base and spans (arrays of kind, start, end), with the ``keep`` columns.
 
-    base holds the matches of the fixed definitions. Their left words become cues, cues and the
-    values after them a graph (:func:`learned_instances`), and identifiers of a loose form that
+    base holds the matches of the fixed definitions. The one and two words before them become
+    cues, cues and the values after them a graph (:func:`learned_instances`), and identifiers of a loose form that
     high-scoring cues introduce are added to spans, unless they overlap a base span.
 
     Null and empty texts have no spans. Rows that repeat an id are searched each. An empty table
@@ -170,9 +170,9 @@ def personal_data(
     rows = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"), F.struct(*[F.col(k) for k in keep] or [F.lit(None).cast("string").alias("none")]).alias("__kept"))
     rows = rows.withColumns({"base": base_spans(body), "loose": loose_spans(body)})
     apart = F.filter("loose", lambda a: ~F.exists("base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])))
-    rows = rows.withColumns({"base": _with_cue(body, F.col("base")), "loose": _with_cue(body, apart)})
+    rows = rows.withColumns({"base": _with_cues(body, F.col("base")), "loose": _with_cues(body, apart)})
     rows = stored(rows.drop("__text").withColumn("__row", F.monotonically_increasing_id()))
-    both = [rows.select(F.explode(c).alias("s")).select("s.cue", "s.kind", "s.value", F.lit(seed).alias("seed")) for c, seed in (("base", 1), ("loose", 0))]
+    both = [rows.select(F.explode(c).alias("s")).select(F.explode("s.cues").alias("cue"), "s.kind", "s.value", F.lit(seed).alias("seed")) for c, seed in (("base", 1), ("loose", 0))]
     learned = learned_instances(both[0].unionByName(both[1]), rounds, least_seeds, least_score)
     open_spans = rows.where("size(loose) > 0").select("__row", F.explode("loose").alias("s")).select("__row", "s.kind", "s.value", "s.start", "s.end")
     found = open_spans.join(learned, ["kind", "value"]).groupBy("__row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))

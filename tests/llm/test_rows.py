@@ -236,12 +236,14 @@ def test_base_spans_equal_brute_force(docs):
 def test_cues_find_identifiers_of_other_forms(docs):
     """After enough phone numbers that follow one cue, a number without a plus sign there is one as well."""
     rows = [(i, f"text {i} please call me at +1 (522) 555-{2000 + i} now") for i in range(12)]
+    rows += [(100 + i, f"w{i} Tel: +1 (522) 555-{3000 + i}") for i in range(9)] + [(200, "other Tel: 522-555-9999.")]
+    rows += [(300 + i, f"the {v}") for i, v in enumerate(["a@b.co", "1.2.3.4", "4111111111111111"] + [f"+1 (522) 555-{4000 + i}" for i in range(8)] + [f"x{i}@b.co" for i in range(8)])] + [(400, "the 522 555 1111")]
     rows += [(50, "é please call me at 522 555 7777 now"), (51, "an item number 522 555 7777 is sold"), (52, "the code was 522 555 8888 then")]
     got = {r.doc_id: spans_of(r.spans) for r in pii.personal_data(docs(rows), rounds=3).collect()}
-    text = rows[12][1]
-    at = text.index("522")
+    at = len("é please call me at ")
     assert got[50] == [("phone", at, at + 12)]
-    assert got[52] == []
+    assert got[52] == [] and got[400] == []  # no cue, and one that stands before anything
+    assert got[200] == [("phone", 11, 23)]
     assert got[51] == [("phone", 15, 27)]  # the same number again
 
 
