@@ -273,3 +273,48 @@ def test_contracts_and_tables(spark, tmp_path):
         Catalog(spark, {})["nothing"]
     assert table_sources(spark)("no_such_table") is None
     assert TableSink(spark).database == "default"
+
+
+def test_diagnosis_ranks_span_the_patient_and_groups_the_day(spark):
+    """Codes two and three fill only from the first day; a first diagnosis without a code drops the patient."""
+    day, later = date(2020, 1, 1), date(2020, 2, 1)
+    visits = [("p", "e1", day), ("p", "e2", later), ("q", "f1", day), ("q", "f2", later), ("r", "g1", day)]
+    tables = {
+        "analytics_b.cancer_encounters": ([(p, e, "d", "v", "s", site_b.VISIT_STATUS[0], at) for p, e, at in visits], site_b.CONTRACTS["source_b.pat_enc"]),
+        "source_b.grouper_compiled_rec_list": (
+            [(site_b.DIAGNOSIS_GROUPER, None, x, "EDG", 1) for x in ("x1", "x2", "x3", "none")], site_b.CONTRACTS["source_b.grouper_compiled_rec_list"]
+        ),
+        "reference_b.clarity_edg": ([(x, x, "2", None, None) for x in ("x1", "x2", "x3", "none")], site_b.CONTRACTS["reference_b.clarity_edg"]),
+        "reference_b.clarity_prc": ([("v", [*site_b.VISIT_TYPES][0])], "prc_id string, prc_name string"),
+        "source_b.pat_enc_dx": (
+            [("e1", "x1", 1), ("e2", "x2", 1), ("f1", "none", 1), ("f2", "x1", 1), ("g1", "x1", 1), ("g1", "x3", 2)], "pat_enc_csn_id string, dx_id string, line int"
+        ),
+        "reference_b.edg_current_icd10": ([("x1", "C1"), ("x2", "C2"), ("x3", "C3")], "dx_id string, code string"),
+    }
+    got = sorted(tuple(r) for r in catalog(spark, site_b, tables)["analytics_b.cancer_dx"].collect())
+    assert got == [("p", day, "C1", None, None), ("r", day, "C1", "C3", None)]
+
+
+def test_a_patient_on_both_registries_keeps_two_rows(spark):
+    tables = {
+        "source_a.dm_cancer_patient": ([("p", "20"), ("q", "31")], "pat_id string, age string"),
+        "deceased_pat_reg": ([("p",), ("p",)], "pat_id string"),
+        "source_a.patient": ([(p, "P", "S", date(2000, 1, 1), "1", "C", "1-2", None, None, "A0003", "Y", None) for p in "pq"], site_a.CONTRACTS["source_a.patient"]),
+        "reference_a.zc_sex": ([("1", "F")], "rcpt_mem_sex_c string, name string"),
+    }
+    got = sorted((r.pat_id, r.age) for r in catalog(spark, site_a, tables, as_of="2022-06-01")["pop"].collect())
+    assert got == [("p", "20"), ("p", "22"), ("q", "31")]
+
+
+def test_radiation_without_a_readable_date_keeps_its_text(spark):
+    """Unreadable dates rank last, but rank one of a patient who has no other."""
+    tables = {
+        "source_b.order_results": (
+            [("o1", site_b.RADIATION_START, "soon"), ("o2", site_b.RADIATION_START, "later"), ("o2", site_b.RADIATION_START, "1/2/2020")],
+            "order_proc_id string, component_id string, ord_value string",
+        ),
+        "source_b.order_proc": ([("o1", "p", "e", "x", None), ("o2", "q", "e", "x", None)], site_b.CONTRACTS["source_b.order_proc"]),
+        "analytics_b.cancer_patient_demographic": ([("p", "P"), ("q", "Q")], "pat_id string, site_b_patient_key string"),
+    }
+    got = sorted((r.pat_id, r.row, r.ord_value) for r in catalog(spark, site_b, tables)["analytics_b.cancer_rad_startdate"].collect())
+    assert got == [("p", 1, "soon"), ("q", 1, "1/2/2020"), ("q", 2, "later")]
