@@ -107,10 +107,6 @@ def _needed(percent: int) -> Column:
     return F.floor((F.col("n") * percent + 99) / 100)
 
 
-def _in_order(entries: Column) -> Column:
-    return F.array_sort(entries)
-
-
 def _with_places(entries: Column, first: Column) -> Column:
     """Entries (count, token) with their places in the document's order, from ``first`` on."""
     return F.transform(entries, lambda e, i: F.struct((first + i).cast("long").alias("place"), e["count"].alias("count"), e["token"].alias("token")))
@@ -147,35 +143,37 @@ def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     counts = rows.groupBy("token").agg(F.count("*").alias("count")).where("count >= 2")
     entry = F.struct("count", "token")
     shared = rows.join(counts, "token").groupBy("row").agg(
-        F.collect_list(F.when(rare, entry)).alias("rare"), F.collect_list(F.when(~rare, entry)).alias("hot")
+        F.collect_list(F.when(rare, entry)).alias("rare"), F.collect_list(F.when(~rare, entry)).alias("hot"),
+        F.count(F.when(rare, 1)).alias("n_rare"), F.count(F.when(~rare, 1)).alias("n_hot"),
     )
     known = nodes.join(shared, "row", "left").drop("row")
+    # Sizes are columns of the aggregate, since an array named inside a lambda is built for each element.
     none = F.array().cast("array<struct<count:bigint,token:bigint>>")
-    known = known.withColumns({c: _in_order(F.coalesce(F.col(c), none)) for c in ("rare", "hot")})
+    known = known.withColumns({c: F.coalesce(F.col(c), none) for c in ("rare", "hot")} | {c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_rare", "n_hot")})
     longest = F.col("n") - _needed(percent) + LONGEST
-    known = known.withColumn("enough", F.col("n_head") - F.size("hot") >= F.least(longest, F.col("n")))
-    # class 0 places: shingles of one document come first, and need no entry
-    low = _with_places(F.col("rare"), F.col("n_head") - F.size("hot") - F.size("rare"))
-    known = known.withColumn("entries", low)
-    known = known.withColumn("entries", _within(longest))
-    known = cut(known.where(~F.col("enough") | (F.size("entries") > 0)))
+    known = known.withColumn("enough", F.col("n_head") - F.col("n_hot") >= F.least(longest, F.col("n")))
+    # shingles of one document come first in class 0, and need no entry
+    first = F.col("n_head") - F.col("n_hot") - F.col("n_rare")
+    known = known.where(~F.col("enough") | ((F.col("n_rare") > 0) & (first < longest)))
+    known = cut(known.withColumn("rare", _with_places(F.sort_array("rare"), first)))
 
     ids = sent_if_small(known.select("id"))
     full = stored(full_sets(texts.join(ids, "id", "left_semi"), width))
 
-    wide = known.where(~F.col("enough"))
+    wide = known.where(~F.col("enough")).select("id", "n", "n_hot", "rare", "hot")
     others = full.join(wide.select("id"), "id", "left_semi").select("id", F.explode(F.filter("shingles", lambda s: s >= BOUND)).alias("token"))
     other_counts = others.groupBy("token").agg(F.count("*").alias("count")).where("count >= 2")
-    more = others.join(other_counts, "token").groupBy("id").agg(_in_order(F.collect_list(entry)).alias("more"))
-    wide = wide.join(more, "id", "left").withColumn("more", F.coalesce("more", none))
-    mid = _with_places(F.col("more"), F.col("n") - F.size("hot") - F.size("more"))
-    high = _with_places(F.col("hot"), F.col("n") - F.size("hot"))
-    wide = wide.withColumn("entries", F.concat("entries", mid, high)).select("id", "n", "entries")
-    every = known.where("enough").select("id", "n", "entries").unionByName(wide)
+    more = others.join(other_counts, "token").groupBy("id").agg(F.collect_list(entry).alias("more"), F.count("*").alias("n_more"))
+    wide = wide.join(more, "id", "left").withColumns({"more": F.coalesce("more", none), "n_more": F.coalesce("n_more", F.lit(0))})
+    mid = _with_places(F.sort_array("more"), F.col("n") - F.col("n_hot") - F.col("n_more"))
+    high = _with_places(F.sort_array("hot"), F.col("n") - F.col("n_hot"))
+    wide = wide.select("id", "n", F.concat("rare", mid, high).alias("entries"))
+    every = cut(known.where("enough").select("id", "n", F.col("rare").alias("entries")).unionByName(wide))
     best, base = _chosen_prefix(percent)
-    every = every.withColumn("l", best)
-    every = every.withColumn("entries", _within(base + F.col("l")))
-    return every.select("id", "n", "l", F.explode("entries.token").alias("token")), full
+    # Written before the entries are spread out, or l would be computed again for each of them.
+    chosen = cut(every.select("id", "n", best.alias("l"), "entries"))
+    chosen = chosen.select("id", "n", "l", F.explode("entries").alias("entry"))
+    return chosen.where(F.col("entry.place") < base + F.col("l")).select("id", "n", "l", "entry.token"), full
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
