@@ -86,18 +86,20 @@ def _frames(records: Iterator[bytes]) -> Iterator[bytes]:
         yield tool.compress(record)
 
 
-def with_revisits(pages: DataFrame, id: str, url: str, html: str, least: int) -> DataFrame:
-    """id, url, payload, sha1 and refers_to (null for responses) of each page.
+def with_revisits(pages: DataFrame, id: str, url: str, html: str, least: int, parts: int) -> DataFrame:
+    """id, url, payload, sha1 and refers_to (null for responses) of each page, in ``parts`` partitions.
 
-    Pages are equal if SHA-1 and SHA-256 of their payloads are. Digests are combined in the tasks
-    first, so a payload that very many pages share is a row per task there; the join back streams.
+    Pages are equal if SHA-1 and SHA-256 of their payloads are. Who revisits whom is found without
+    payloads, from digests that are combined in the tasks first, so a payload that very many pages
+    share is a row per task there. Payloads are shuffled once, to their archives, where the
+    revisits of the same pages meet them.
     """
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), payload.alias("payload"))
-    rows = rows.withColumns({"sha1": F.sha1("payload"), "sha2": F.sha2("payload", 256)})
-    last = rows.where(F.length("payload") >= least).groupBy("sha1", "sha2").agg(F.max("id").alias("response"))
-    joined = rows.join(last, ["sha1", "sha2"], "left")
-    return joined.select("id", "url", "payload", "sha1", F.when(F.col("id") < F.col("response"), F.col("response")).alias("refers_to"))
+    rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
+    names = rows.select("id", "sha1", F.sha2("payload", 256).alias("sha2"), F.length("payload").alias("size"))
+    last = names.where(F.col("size") >= least).groupBy("sha1", "sha2").agg(F.max("id").alias("refers_to"), F.count("*").alias("n"))
+    revisits = names.join(last.where("n > 1"), ["sha1", "sha2"]).where("id < refers_to").select("id", "sha1", "refers_to").distinct()
+    return rows.repartition(parts, "id", "sha1").join(revisits, ["id", "sha1"], "left").select("id", "url", "payload", "sha1", "refers_to")
 
 
 def write_archives(
@@ -111,9 +113,8 @@ def write_archives(
     responses if the id is the largest). An empty table gives an empty archive folder.
     """
     size = pages.agg(F.sum(F.octet_length(html))).first()[0] or 0
-    rows = with_revisits(pages, id, url, html, least).withColumn("id", F.col("id").cast("string"))
-    rows = rows.withColumn("refers_to", F.col("refers_to").cast("string"))
-    rows = rows.repartition(max(1, -(-size // archive_bytes)), F.xxhash64("id"))
+    rows = with_revisits(pages, id, url, html, least, max(1, -(-size // archive_bytes)))
+    rows = rows.withColumns({c: F.col(c).cast("string") for c in ("id", "refers_to")})
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[bytes]:
