@@ -34,7 +34,7 @@ from .shared import cut, sent_if_small, stored
 SHARE = 0.25
 HOT = 32
 LONGEST = 4  # the largest l
-PIVOT_ROUNDS = 2
+LEAST_ROUNDS, MOST_ROUNDS = 1, 12  # of verification against single documents; more save pairs, none change results
 SLICE_BYTES = 8 << 20
 BOUND = int(SHARE * 2**64) - 2**63  # hashes are stored as signed numbers, in the same order
 
@@ -189,32 +189,42 @@ def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) with the same components as all pairs of similar sets.
 
-    Prefix tokens are buckets of documents. First, in a few rounds, every document is verified
-    against one document of its buckets, which joins up large groups at one pair per document.
-    Then every pair that shares a bucket, has enough shared tokens and fitting sizes and is not
-    yet in one component is verified. In a bucket, pairs are made between the documents outside
-    its largest component and all others, so a bucket that is one component makes none.
+    Prefix tokens are buckets of documents; documents with one label are known to be connected.
+    In each round, every document is verified against one document of its buckets' largest label,
+    at most one pair per document, and takes over its label if they are similar. Rounds go on
+    while the last step would make more pairs than there are postings. That step verifies every
+    pair of different labels that shares a bucket, has enough shared tokens and fitting sizes. In
+    a bucket, pairs are made between the documents outside its largest label and all others, so a
+    bucket of one label makes none.
     """
     sizes = postings.groupBy("token").agg(F.count("*").alias("c")).where("c >= 2").select("token")
-    postings = cut(postings.join(sizes, "token"))
-    links, groups = None, None
-    for turn in range(PIVOT_ROUNDS):
-        rows = postings if groups is None else _labelled(postings, groups)
-        label = F.col("id") if groups is None else F.col("label")
-        rows = rows.withColumn("label", label)
-        pivot = rows.groupBy("token").agg(F.min_by(F.struct(F.col("id").alias("pivot"), F.col("label").alias("pivot_label"), F.col("n").alias("pivot_n")), F.xxhash64("id", F.lit(turn))).alias("p"))
-        near = rows.join(pivot, "token").where(F.col("label") != F.col("p.pivot_label")).where(_sizes_fit(F.col("n"), F.col("p.pivot_n"), percent))
-        votes = near.groupBy("id", "p.pivot").agg(F.count("*").alias("shared"))
-        best = votes.groupBy("id").agg(F.max_by("pivot", F.struct("shared", F.xxhash64("pivot"))).alias("b")).select(F.col("id").alias("a"), "b")
-        found = cut(verified(best, full, percent))
-        links = found if links is None else links.union(found)
-        groups = components(links)
-    rows = cut(_labelled(postings, groups))
-    parts = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
-    main = parts.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).where("labels >= 2").drop("labels")
-    rows = rows.join(main, "token")
-    minor = rows.where("label <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "l", "label")])
-    every = rows.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "l", "label")])
+    rows = cut(postings.join(sizes, "token").withColumn("label", F.col("id")))
+    total = rows.count()
+    links = None
+    for turn in range(MOST_ROUNDS):
+        parts = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
+        main = parts.groupBy("token").agg(
+            F.max_by("label", F.struct("c", F.xxhash64("label", F.lit(turn)))).alias("main"), F.max("c").alias("most"), F.sum("c").alias("all")
+        )
+        main = cut(main.where("most < all"))
+        if turn >= LEAST_ROUNDS and (main.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0] or 0) <= 2 * total:
+            break
+        mixed = rows.join(main.select("token", "main"), "token")
+        inside = mixed.where("label = main").groupBy("token").agg(F.min_by(F.struct("id", "label", "n"), F.xxhash64("id", F.lit(turn))).alias("p"))
+        near = mixed.where("label <> main").join(inside, "token").where(_sizes_fit(F.col("n"), F.col("p.n"), percent))
+        votes = near.groupBy("id", "label", "p").agg(F.count("*").alias("shared"))
+        best = votes.groupBy("id", "label").agg(F.max_by("p", F.struct("shared", F.xxhash64("p.id"))).alias("p"))
+        best = cut(best.select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("label").alias("from"), F.col("p.label").alias("to")))
+        found = cut(verified(best, full, percent).join(best, ["a", "b"]))
+        links = found.select("a", "b") if links is None else links.union(found.select("a", "b"))
+        # one step to the label of the partner and one on, so that documents linked to one pivot meet
+        onto = found.groupBy("from").agg(F.min("to").alias("to"))
+        onward = onto.select(F.col("from").alias("to"), F.col("to").alias("next"))
+        onto = onto.join(onward, "to", "left").select(F.col("from").alias("label"), F.coalesce("next", "to").alias("to"))
+        rows = cut(rows.join(onto, "label", "left").withColumn("label", F.coalesce("to", "label")).select(*rows.columns))
+    both = rows.join(main.select("token", "main"), "token")
+    minor = both.where("label <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "l", "label")])
+    every = both.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "l", "label")])
     pairs = minor.join(every, "token").where("label_a <> label_b AND (label_b = main OR id_a < id_b)")
     pairs = pairs.where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent))
     enough = F.count("*") >= F.min(F.least("l_a", "l_b"))
@@ -226,11 +236,6 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _labelled(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    rows = postings.join(groups.select("id", F.col("component").alias("label")), "id", "left")
-    return rows.withColumn("label", F.coalesce("label", "id"))
-
-
 def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: id, n_shingles, class_id, component_id.
 
