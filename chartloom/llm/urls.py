@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .shared import cut
 
+SALTS = 16
 MARK = "\u0001"  # leads the wildcards in node names, so that no segment of a url looks like one
 
 
@@ -90,7 +91,7 @@ def url_verdicts(
     whole = rows.agg(*totals).first()
     prior = (whole["blocked"] or 0) / whole["labelled"] if whole["labelled"] else 0.0
     roots = rows.groupBy("node").agg(*totals).select("node", smoothed(F.lit(prior)).alias("purity"))
-    rows = rows.join(roots, "node")
+    rows = _salted_join(rows, roots, ["node"])
     finished = []
     for level in range(depth):
         rows = cut(rows.withColumn("segment", F.get("segments", F.lit(level))))
@@ -109,6 +110,13 @@ def url_verdicts(
     return out.select(F.col("id").alias(id), "host", "path", F.col("hit.name").alias("rule"), verdict.alias("verdict"), template.alias("template"), "purity")
 
 
+def _salted_join(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join with a side of one row per key, which is repeated so that a hot host spreads over ``SALTS`` tasks."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id", "path"), F.lit(SALTS)).cast("int"))
+    many = side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(many, [*keys, "salt"]).drop("salt")
+
+
 def _descend(rows, totals, smoothed, variable_values: int, variable_share: float, similar_z: float) -> DataFrame:
     """``rows`` moved to the branch that their segment belongs to."""
     kids = rows.groupBy("node", "segment").agg(*totals, F.count("*").alias("n"), F.first("purity").alias("above"))
@@ -132,5 +140,5 @@ def _descend(rows, totals, smoothed, variable_values: int, variable_share: float
     branches = kids.groupBy("node", "branch").agg(*totals, F.first("above").alias("above"))
     branches = branches.select("node", "branch", smoothed(F.col("above")).alias("purity"))
     to = kids.join(branches, ["node", "branch"]).select("node", "segment", "branch", F.col("purity").alias("down"))
-    moved = rows.join(to, ["node", "segment"])
+    moved = _salted_join(rows, to, ["node", "segment"])
     return moved.select(*[c for c in rows.columns if c not in ("node", "purity", "segment")], F.concat_ws("/", "node", "branch").alias("node"), F.col("down").alias("purity"))
