@@ -192,7 +192,8 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
     Prefix tokens are buckets of documents; documents with one label are known to be connected.
     In each round, every document is verified against one document of its buckets' largest label,
     at most one pair per document, and takes over its label if they are similar. Rounds go on
-    while the last step would make more pairs than there are postings. That step verifies every
+    while the last step would make many more pairs than there are postings and at least a tenth
+    of a round's pairs are similar. That last step verifies every
     pair of different labels that shares a bucket, has enough shared tokens and fitting sizes. In
     a bucket, pairs are made between the documents outside its largest label and all others, so a
     bucket of one label makes none.
@@ -200,14 +201,14 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
     sizes = postings.groupBy("token").agg(F.count("*").alias("c")).where("c >= 2").select("token")
     rows = cut(postings.join(sizes, "token").withColumn("label", F.col("id")))
     total = rows.count()
-    links = None
+    links, fruitful = None, True
     for turn in range(MOST_ROUNDS):
         parts = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
         main = parts.groupBy("token").agg(
             F.max_by("label", F.struct("c", F.xxhash64("label", F.lit(turn)))).alias("main"), F.max("c").alias("most"), F.sum("c").alias("all")
         )
         main = cut(main.where("most < all"))
-        if turn >= LEAST_ROUNDS and (main.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0] or 0) <= 2 * total:
+        if turn >= LEAST_ROUNDS and (not fruitful or (main.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0] or 0) <= 2 * total):
             break
         mixed = rows.join(main.select("token", "main"), "token")
         inside = mixed.where("label = main").groupBy("token").agg(F.min_by(F.struct("id", "label", "n"), F.xxhash64("id", F.lit(turn))).alias("p"))
@@ -216,6 +217,7 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
         best = votes.groupBy("id", "label").agg(F.max_by("p", F.struct("shared", F.xxhash64("p.id"))).alias("p"))
         best = cut(best.select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("label").alias("from"), F.col("p.label").alias("to")))
         found = cut(verified(best, full, percent).join(best, ["a", "b"]))
+        fruitful = 10 * found.count() >= best.count()
         links = found.select("a", "b") if links is None else links.union(found.select("a", "b"))
         # one step to the label of the partner and one on, so that documents linked to one pivot meet
         onto = found.groupBy("from").agg(F.min("to").alias("to"))
