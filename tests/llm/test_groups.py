@@ -170,6 +170,21 @@ def test_recall_of_the_plans(rows):
     assert hit.any(axis=1).mean() >= 0.99
 
 
+@pytest.mark.parametrize("rows, dimension, pairs", [(2 * 10**9, 64, 1000), (10**6, 384, 1500), (10**9, 384, 1000), (10**12, 384, 300), (10**6, 1024, 500)])
+def test_recall_of_wide_vectors_and_four_functions(rows, dimension, pairs):
+    rng = np.random.default_rng(7)
+    a = rng.normal(size=(pairs, dimension))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    z = rng.normal(size=a.shape)
+    z -= (z * a).sum(axis=1, keepdims=True) * a
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    b = 0.9 * a + np.sqrt(1 - 0.81) * z
+    plan = plan_for(rows, dimension)
+    ca, cb = bucket_codes(a, plan), bucket_codes(b, plan)
+    hit = (ca[:, :, :1] == cb).any(axis=2) | (cb[:, :, :1] == ca).any(axis=2)
+    assert hit.any(axis=1).mean() >= 0.9965
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 64))
     assert np.allclose((hadamard(x) ** 2).sum(axis=1), (x**2).sum(axis=1))
