@@ -245,6 +245,8 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
     set holds its distinct shingles of ``width`` words, or its whole sequence of words if it has
     fewer. Documents link if their sets have a Jaccard similarity of ``percent`` / 100 or more.
     class_id is the smallest id with the same set, component_id the smallest id reachable by links.
+    The result is components and not links: documents already known to be connected are not compared
+    any more, so the links inside a component of three or more are neither all made nor counted.
 
     Equal sets are joined by digest first, so copies never meet in pairs. Sets hold 64-bit hashes.
     Null, empty and blank texts have empty sets and link with nothing, not even each other. Ids
