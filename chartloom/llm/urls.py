@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import itertools
 import string
 from collections.abc import Sequence
 
@@ -50,7 +51,7 @@ def matching_rule(rules: Sequence[Rule], host: Column, path: Column) -> Column:
 
 
 def url_verdicts(
-    pages: DataFrame, rules: Sequence[Rule], id: str = "page_id", url: str = "url", depth: int = 6,
+    pages: DataFrame, rules: Sequence[Rule], id: str = "page_id", url: str = "url",
     variable_values: int = 8, variable_share: float = 0.5, similar_z: float = 1.96, prior_weight: float = 4.0, reject_at: float = 0.7,
 ) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, template, purity.
@@ -67,7 +68,7 @@ def url_verdicts(
       node above with the weight of ``prior_weight`` labels, and at the root towards that of all.
 
     A page without a rule is blocked if the purity of its template is at least ``reject_at``.
-    Levels beyond ``depth`` count as one segment. All counts cover all pages.
+    Levels go down to the end of the longest path. All counts cover all pages.
 
     Null urls and those without ``://`` have an empty host and path and share one template. Rows
     that repeat an id are judged each. An empty table gives no rows.
@@ -76,7 +77,7 @@ def url_verdicts(
     rows = pages.select(F.col(id).alias("id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("hit", matching_rule(rules, F.col("host"), F.col("path")))
     inner = F.regexp_replace("path", "^/", "")
-    segments = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, "/", depth))
+    segments = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, "/", -1))
     rows = rows.select(
         "id", "host", "path", "hit", segments.alias("segments"), F.col("host").alias("node"),
         F.when(F.col("hit").isNull(), 0).otherwise(1).alias("labelled"),
@@ -93,15 +94,13 @@ def url_verdicts(
     roots = rows.groupBy("node").agg(*totals).select("node", smoothed(F.lit(prior)).alias("purity"))
     rows = _salted_join(rows, roots, ["node"])
     finished = []
-    for level in range(depth):
+    for level in itertools.count():
         rows = cut(rows.withColumn("segment", F.get("segments", F.lit(level))))
         finished.append(rows.where("segment IS NULL").drop("segment"))
         rows = rows.where("segment IS NOT NULL")
         if rows.isEmpty():
             break
         rows = _descend(rows, totals, smoothed, variable_values, variable_share, similar_z)
-    else:
-        finished.append(rows.drop("segment"))
     out = finished[0]
     for more in finished[1:]:
         out = out.unionByName(more)

@@ -191,6 +191,16 @@ def test_templates_carry_labels_to_urls_without_rules(frame):
     assert {r.verdict for r in same.collect()} == {"allow"}
 
 
+def test_templates_go_below_six_levels(frame):
+    words = [f"{k}{chr(97 + i)}" for k in "sd" for i in range(26)]
+    deep = {w: f"/a/b/c/d/e/f/{w}/{'shop' if w[0] == 's' else 'docs'}" for w in words}
+    rules = [urls.Rule("block" if w[0] == "s" else "allow", "h.net", deep[w]) for w in words if w[1] < "h"]
+    got = urls.url_verdicts(frame([(w, f"http://h.net{deep[w]}") for w in words], "page_id string, url string"), rules).collect()
+    assert {(r.page_id[0], r.verdict) for r in got} == {("s", "block"), ("d", "allow")}
+    assert len({r.template for r in got}) == 2
+
+
+
 # ---------------------------------------------------------------- personal data
 
 PATTERNS = {
