@@ -1,4 +1,4 @@
-"""Rankings that stay balanced when one key holds a large share of all rows.
+"""Rankings that stay balanced when one key, or one value of it, holds a large share of all rows.
 
 Plain equi joins need nothing here: adaptive execution splits an oversized join
 partition, and a single hot key with it, from the sizes seen at run time.
@@ -11,6 +11,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from chartloom.sources.sinks import stored
+
+_PART_BITS = 33  # monotonically_increasing_id: the task above these bits, the row within it below
+
 
 def ranked(
     df: DataFrame,
@@ -19,27 +23,33 @@ def ranked(
     ties: Sequence[Column] = (),
     newest_first: bool = False,
     name: str = "rank",
+    kind: str = "int",
 ) -> DataFrame:
     """Number every row within its keys by ``by``, then by ``ties``.
 
-    Ascending order has nulls last, ``newest_first`` has them first. Rows are
-    counted per key and value, with partial counts in every task; running totals
-    of these counts are the offsets of the values, and rows are numbered within
-    key and value. So no task sorts a whole key, whatever its size; null keys
-    and null values are groups like any other.
+    Ascending order has nulls last, ``newest_first`` has them first; null keys
+    are a group like any other. Rows that are equal in all of these follow a hash
+    of the whole row, so the numbers do not depend on the run.
+
+    All rows are sorted once by a range exchange whose bounds may fall anywhere,
+    also inside one key and value, and stored. The number of a row is its place in
+    its partition, less the place where its key begins there, plus the rows of the
+    key in earlier partitions. These last two come from one row per key and
+    partition, so no task ever holds a whole key.
     """
     value = F.col(by) if isinstance(by, str) else by
+    leading = value.desc_nulls_first() if newest_first else value.asc_nulls_last()
+    hashed = [c for c, kind_of in df.dtypes if "map<" not in kind_of and "variant" not in kind_of]
+    marked = df.withColumns({"_spread": F.xxhash64(*hashed), "_row": F.monotonically_increasing_id()})
+    order = [*[F.col(k).asc_nulls_first() for k in keys], leading, *ties, F.col("_spread"), F.col("_row")]
+    placed = marked.repartitionByRange(*order).sortWithinPartitions(*order).drop("_spread", "_row")
+    placed = stored(placed.withColumn("_at", F.monotonically_increasing_id()))
+
+    part = F.shiftright("_at", _PART_BITS)
     groups = [f"_k{i}" for i in range(len(keys))]
-    split = df.withColumns({g: F.col(k) for g, k in zip(groups, keys, strict=True)} | {"_value": value})
-    counts = split.groupBy(*groups, "_value").agg(F.count(F.lit(1)).alias("_n"))
-    leading = F.col("_value").desc_nulls_first() if newest_first else F.col("_value").asc_nulls_last()
-    before = Window.partitionBy(*groups).orderBy(leading).rowsBetween(Window.unboundedPreceding, -1)
-    names = [f"{c}_of" for c in (*groups, "_value")]
-    offsets = counts.select(
-        *[F.col(c).alias(n) for c, n in zip((*groups, "_value"), names, strict=True)], F.sum("_n").over(before).alias("_offset")
-    )
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip((*groups, "_value"), names, strict=True)])
-    within = Window.partitionBy(*groups, "_value").orderBy(*(ties or [F.lit(0)]))
-    numbered = split.withColumn("_local", F.row_number().over(within))
-    rank = (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int")
-    return numbered.join(offsets, same).select(*df.columns, rank.alias(name))
+    runs = placed.groupBy(part.alias("_p"), *[F.col(k).alias(g) for k, g in zip(keys, groups, strict=True)])
+    runs = runs.agg(F.min("_at").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("_p", *groups, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_start") + 1).alias("_move"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, groups, strict=True)], part == F.col("_p"))
+    return placed.join(runs, same).select(*df.columns, (F.col("_at") + F.col("_move")).cast(kind).alias(name))

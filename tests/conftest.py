@@ -30,7 +30,3 @@ def value(spark):
         return [r[0] for r in df.orderBy("i").select(build(F.col("x")).alias("v")).collect()]
 
     return evaluate
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

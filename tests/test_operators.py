@@ -15,12 +15,13 @@ from chartloom.operators.picks import down, first_per, rank_all, spread_top, up
 from chartloom.operators.pivots import elements_pivot, pivot_first
 from chartloom.operators.privacy import deidentify, limited_dataset
 from chartloom.operators.reports import qa_report
+from chartloom.operators import skew
 from chartloom.operators.skew import ranked
 from chartloom.operators.windows import within_window
 from chartloom.sources.catalog import Catalog, table_sources
-from chartloom.sources.sinks import TableSink
+from chartloom.sources.sinks import TableSink, stored
 
-from conftest import plan_of
+from plan_text import plan_of
 
 
 def found(df):
@@ -82,6 +83,30 @@ def test_ranks_equal_a_plain_numbering(rows, newest_first, kind):
     assert found(ranked(df.limit(0), ["k"], "v", [up("i")])) == []
 
 
+def test_one_key_and_one_date_spread_over_the_tasks_of_a_ranking(spark, rows, monkeypatch):
+    """Half of the rows share key and date, a quarter is one row repeated; no task gets much more than its share."""
+    held = {}
+    monkeypatch.setattr(skew, "stored", lambda df: held.setdefault("rows", stored(df)))
+    data = [(i, "k" if i % 2 else None, None if i % 2 else date(2020, 1, 1 + i % 9)) for i in range(3000)] + [(7, "z", None)] * 1000
+    df = rows(data, "i int, k string, d date")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranks = sorted((r["k"] or "", r["rank"]) for r in ranked(df, ["k"], "d").collect())
+        sizes = [r["count"] for r in held["rows"].groupBy(F.shiftright("_at", 33)).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert ranks == [("", n + 1) for n in range(1500)] + [("k", n + 1) for n in range(1500)] + [("z", n + 1) for n in range(1000)]
+    assert len(sizes) == 4 and max(sizes) < 1800
+
+
+def test_a_ranking_reads_its_input_in_one_exchange(rows, monkeypatch):
+    """Everything above the stored rows is one row per key and task, however the ranking is read."""
+    plans = []
+    monkeypatch.setattr(skew, "stored", lambda df: plans.append(plan_of(df)) or stored(df))
+    ranked(rows([(1, "a", 2)], "i int, k string, v int"), ["k"], "v").collect()
+    assert len(plans) == 1 and plans[0].count("Exchange ") == 1 and "rangepartitioning" in plans[0]
+
+
 def test_first_rows_and_null_order(rows):
     df = rows([("p", None, 1), ("p", date(2020, 1, 1), 2), ("p", date(2021, 1, 1), 3), ("q", date(2020, 1, 1), 9), ("q", date(2020, 1, 1), 4)], "k string, d date, i int")
     assert found(first_per(df, ["k"], [up("d"), up("i")]).select("k", "i")) == [("p", 2), ("q", 4)]
