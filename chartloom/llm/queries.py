@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, jaccard, langid, packing, pii, shared, tokens, urls, vectors, warc
+from . import bpe, exact, jaccard, langid, merkle, packing, pii, shared, tokens, urls, vectors, warc
 from .ship import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -113,3 +113,64 @@ def op10(docs: DataFrame) -> DataFrame:
     counts = [F.size(F.filter("base", pii.of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     digest = F.sha2(pii.as_text(F.col("base")).cast("binary"), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
+def _unsigned_crc32(text: str) -> str:
+    """CRC-32 of an ASCII text in SQL: a byte's table entry is the sum of those of its bits."""
+    bits = []
+    for bit in range(8):
+        entry = 1 << bit
+        for _ in range(8):
+            entry = entry >> 1 ^ (0xEDB88320 if entry & 1 else 0)
+        bits.append(f"(((xor(a, b) >> {bit}) & 1) * {entry})")
+    step = f"(a >> 8)"
+    for entry in bits:
+        step = f"xor({step}, {entry})"
+    start = f"list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT))"
+    return f"xor(4294967295::BIGINT, list_reduce({start}, lambda a, b: {step}))"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE octet_length(encode({f})) || ':' || {f} END" for f in fields) + ")"
+
+
+def _tree_sql(name: str, start: str, levels: int) -> list[str]:
+    """CTEs ``name_0`` .. of (tree, place, nodes, node, lft, rgt): each level of all trees, siblings included."""
+    out = []
+    for k in range(levels + 1):
+        below = f"({start})" if k == 0 else f"""(SELECT tree, place // 3 AS place, (max(nodes) + 2) // 3 AS nodes,
+          CASE WHEN max(nodes) > 1 THEN sha256(string_agg(node, '' ORDER BY place)) ELSE max(node) END AS node FROM {name}_{k - 1} GROUP BY tree, place // 3)"""
+        out.append(f"""{name}_{k} AS (SELECT *,
+          coalesce(string_agg(node, '') OVER (PARTITION BY tree, place // 3 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+          coalesce(string_agg(node, '') OVER (PARTITION BY tree, place // 3 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt FROM {below} t)""")
+    return out
+
+
+def _merkle_sql(source_levels: int = 14, root_levels: int = 7) -> str:
+    """Trees of up to 3^14 documents a source and 3^7 sources."""
+    tree = "CASE WHEN source IS NULL THEN '' ELSE '+' || source END"
+    ctes = [f"""leaves AS (SELECT doc_id, {tree} AS tree, {_leaf_sql('text')} AS leaf,
+      CASE WHEN {_unsigned_crc32('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql('text')} END AS other FROM documents)""",
+      "placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS nodes FROM leaves)"]
+    ctes += _tree_sql("s", "SELECT tree, place, nodes, leaf AS node FROM placed", source_levels)
+    ctes += _tree_sql("r", f"SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS nodes, node FROM s_{source_levels}", root_levels)
+    ctes.append(f"tops AS (SELECT tree AS of, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS at FROM s_{source_levels})")
+    rows, proof, last = "placed p JOIN tops q ON p.tree = q.of", "''", "other"
+    ctes.append(f"f0 AS (SELECT doc_id, leaf, subroot, p.tree, place, at, other AS node, '' AS proof FROM {rows})")
+    n = 0
+    for name, levels, tree_of, at in (("s", source_levels, "f.tree", "f.place"), ("r", root_levels, "''", "f.at")):
+        for k in range(levels):
+            ctes.append(f"""f{n + 1} AS (SELECT f.doc_id, f.leaf, f.subroot, f.tree, f.place, f.at, f.proof || l.lft || l.rgt AS proof,
+              CASE WHEN l.nodes > 1 THEN sha256(l.lft || f.node || l.rgt) ELSE f.node END AS node
+              FROM f{n} f JOIN {name}_{k} l ON l.tree = {tree_of} AND l.place = {at} // {3**k})""")
+            n += 1
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM f{n} f CROSS JOIN (SELECT node AS root FROM r_{root_levels}) t"""
+
+
+@query("op13_merkle_manifest", "documents", _merkle_sql())
+def op13(docs: DataFrame) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.merkle_manifest(docs, altered={"text": F.replace("text", F.lit("\n"), F.lit(""))}, tampered=even)
