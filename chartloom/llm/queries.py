@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, jaccard, langid, merkle, packing, pii, shared, tokens, urls, vectors, warc
+from . import bpe, divergence, exact, jaccard, langid, merkle, nearest, packing, pii, shared, tokens, urls, vectors, warc
 from .ship import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -115,6 +115,41 @@ def op10(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
 
 
+@query(
+    "op11_source_divergence",
+    "documents",
+    r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM w GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term HAVING sum(docs) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+t AS (SELECT c.lang, c.source, sum(c.n) AS total FROM c JOIN k USING (lang, term) GROUP BY c.lang, c.source),
+g AS (SELECT DISTINCT lang, source FROM d),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * v.v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (k.n + 2)) // (v.total + 2 * v.v) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN t ON t.lang = g.lang AND t.source = g.source
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+e AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM e)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM o WHERE part = 'pair' OR rank <= 10""",
+)
+def op11(docs: DataFrame) -> DataFrame:
+    return divergence.source_divergence(docs)
+
+
+@query("op12_permutation_neighbours", "embeddings")
+def op12(vectors: DataFrame) -> DataFrame:
+    return nearest.nearest_neighbours(vectors, "vec_id % 100 = 0")
+
+
 def _unsigned_crc32(text: str) -> str:
     """CRC-32 of an ASCII text in SQL: a byte's table entry is the sum of those of its bits."""
     bits = []
@@ -155,13 +190,13 @@ def _merkle_sql(source_levels: int = 14, root_levels: int = 7) -> str:
       "placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS nodes FROM leaves)"]
     ctes += _tree_sql("s", "SELECT tree, place, nodes, leaf AS node FROM placed", source_levels)
     ctes += _tree_sql("r", f"SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS nodes, node FROM s_{source_levels}", root_levels)
-    ctes.append(f"tops AS (SELECT tree AS of, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS at FROM s_{source_levels})")
-    rows, proof, last = "placed p JOIN tops q ON p.tree = q.of", "''", "other"
-    ctes.append(f"f0 AS (SELECT doc_id, leaf, subroot, p.tree, place, at, other AS node, '' AS proof FROM {rows})")
+    ctes.append(f"tops AS (SELECT tree AS name, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS spot FROM s_{source_levels})")
+    rows, proof, last = "placed p JOIN tops q ON p.tree = q.name", "''", "other"
+    ctes.append(f"f0 AS (SELECT doc_id, leaf, subroot, p.tree, place, spot, other AS node, '' AS proof FROM {rows})")
     n = 0
-    for name, levels, tree_of, at in (("s", source_levels, "f.tree", "f.place"), ("r", root_levels, "''", "f.at")):
+    for name, levels, tree_of, at in (("s", source_levels, "f.tree", "f.place"), ("r", root_levels, "''", "f.spot")):
         for k in range(levels):
-            ctes.append(f"""f{n + 1} AS (SELECT f.doc_id, f.leaf, f.subroot, f.tree, f.place, f.at, f.proof || l.lft || l.rgt AS proof,
+            ctes.append(f"""f{n + 1} AS (SELECT f.doc_id, f.leaf, f.subroot, f.tree, f.place, f.spot, f.proof || l.lft || l.rgt AS proof,
               CASE WHEN l.nodes > 1 THEN sha256(l.lft || f.node || l.rgt) ELSE f.node END AS node
               FROM f{n} f JOIN {name}_{k} l ON l.tree = {tree_of} AND l.place = {at} // {3**k})""")
             n += 1
