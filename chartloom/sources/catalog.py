@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import json
+import pathlib
+import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from .sinks import Sink
+from .files import facts
+from .sinks import ParquetSink, Sink
 
 Stage = Callable[["Catalog"], DataFrame]
 
@@ -38,8 +44,11 @@ class Catalog:
 
     A stage that has not been published is composed lazily and kept, so stages
     that share it build on one DataFrame. Stages named in ``shared`` are stored
-    in ``workspace`` on first use: many others read them, and reading a stored
-    cohort beats computing it again in every branch of a plan.
+    in ``workspace``: many others read them, and reading a stored cohort beats
+    computing it again in every branch of a plan. A stored cohort is found by a
+    fingerprint of what it was made from: the files of its sources with their
+    sizes and times, the options, and the code. So it serves again, also in a later
+    program over the same workspace, exactly as long as none of these changes.
     """
 
     def __init__(
@@ -50,7 +59,7 @@ class Catalog:
         contracts: Mapping[str, str] | None = None,
         options: Mapping[str, object] | None = None,
         shared: Iterable[str] = (),
-        workspace: Sink | None = None,
+        workspace: ParquetSink | None = None,
     ):
         self.spark = spark
         self._sources = sources
@@ -61,11 +70,16 @@ class Catalog:
         self._shared = set(shared) if workspace is not None else set()
         self._workspace = workspace
         self._stored: set[str] = set()
+        self._inputs: dict[str, list[str]] = {}  # names that a stage asked for
+        self._asking: list[set[str]] = []
+        self._prints: dict[str, str] = {}
 
     def option(self, name: str, default):
         return self.options.get(name, default)
 
     def find(self, name: str) -> DataFrame | None:
+        if self._asking:
+            self._asking[-1].add(name)
         if name not in self._resolved:
             df = self._source(name)
             if df is not None and name in self._contracts:
@@ -73,10 +87,7 @@ class Catalog:
             if df is not None:
                 self._stored.add(name)
             elif name in self._stages:
-                df = self._stages[name](self)
-                if name in self._shared:
-                    df = self._workspace.publish(name, df)
-                    self._stored.add(name)
+                df = self._kept(name) if name in self._shared else self.compose(name)
             if df is None:
                 return None
             self._resolved[name] = df
@@ -84,11 +95,71 @@ class Catalog:
 
     def compose(self, name: str) -> DataFrame:
         """The stage's own plan, even if its rows have been stored; what it reads may be stored."""
-        return self._stages[name](self)
+        self._asking.append(set())
+        try:
+            return self._stages[name](self)
+        finally:
+            self._inputs[name] = sorted(self._asking.pop())
+
+    def _kept(self, name: str) -> DataFrame:
+        """The rows stored for the present inputs; computed and stored if there are none."""
+        note = self._workspace.note(name)
+        df = None
+        if note and all(n in self._stages for n in json.loads(note)):
+            self._inputs = json.loads(note) | self._inputs
+            df = self._workspace.find(name, self.fingerprint(name))
+        if df is None:
+            df = self.compose(name)
+            self._prints.pop(name, None)
+            key = self.fingerprint(name)
+            df = self._workspace.find(name, key) or self._workspace.publish(name, df, key)
+            self._workspace.note(name, json.dumps(self._inputs_below(name)))
+        self._stored.add(name)
+        return df
+
+    def _inputs_below(self, name: str) -> dict[str, list[str]]:
+        found, todo = {}, [name]
+        while todo:
+            at = todo.pop()
+            if at in self._inputs and at not in found:
+                found[at] = self._inputs[at]
+                todo += self._inputs[at]
+        return found
+
+    def fingerprint(self, name: str) -> str:
+        """What decides the rows of a source or stage; equal prints mean equal rows. Starts no job.
+
+        A source that reads no files, such as rows given by the program, counts as the same only
+        within its own session.
+        """
+        if name.startswith("?"):  # a stage asked whether this is stored
+            return str(self.is_stored(name[1:]))
+        if name not in self._prints:
+            df = None if name in self._inputs else self.find(name)
+            if name in self._inputs:
+                parts = [name, self.options, code_print(), _own_code(self._stages[name]), [(i, self.fingerprint(i)) for i in self._inputs[name]]]
+            elif df is None:
+                parts = [name, "absent"]
+            else:
+                files = df.inputFiles()
+                parts = [name, df.dtypes, facts(self.spark, files), _plan_text(df)]
+                if not files:
+                    parts += [df.semanticHash(), self.spark.sparkContext.applicationId]
+            self._prints[name] = hashlib.sha256(repr(parts).encode()).hexdigest()
+        return self._prints[name]
+
+    def rows(self, name: str) -> int | None:
+        """Rows of a stage that is stored in the workspace, as counted while they were written."""
+        if self.find(name) is None or name not in self._shared:
+            return None
+        about = self._workspace.about(name, self.fingerprint(name))
+        return about["rows"] if about else None
 
     def is_stored(self, name: str) -> bool:
         """Whether ``name`` has been read from a source or published, not merely composed."""
-        return name in self._stored or self._source(name) is not None
+        if self._asking:
+            self._asking[-1].add(f"?{name}")
+        return name in self._stored or self._has_source(name)
 
     def __getitem__(self, name: str) -> DataFrame:
         df = self.find(name)
@@ -96,6 +167,9 @@ class Catalog:
             raise KeyError(f"no source or stage provides {name}")
         return df
 
+    def _has_source(self, name: str) -> bool:
+        return self._sources(name) is not None if callable(self._sources) else name in self._sources
+
     def _source(self, name: str) -> DataFrame | None:
         if callable(self._sources):
             return self._sources(name)
@@ -111,11 +185,36 @@ class Catalog:
             del self._resolved[name]
         done = {}
         for name in names:
-            done[name] = self._resolved[name] = sink.publish(name, self._stages[name](self))
+            done[name] = self._resolved[name] = sink.publish(name, self.compose(name))
             self._stored.add(name)
         return done
 
 
+def _plan_text(df: DataFrame) -> str:
+    """The analyzed plan without the numbers that differ from one session to the next."""
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        return re.sub(r"#\d+L?", "", df._jdf.queryExecution().analyzed().toString())
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+
+
+@functools.cache
+def code_print() -> str:
+    """Digest of the code that datasets are made by."""
+    package = pathlib.Path(__file__).resolve().parent.parent
+    files = sorted(f for part in ("functions", "operators", "plans", "sources") for f in (package / part).glob("*.py"))
+    return hashlib.sha256(b"".join(f.read_bytes() for f in files)).hexdigest()
+
+
+def _own_code(stage: Stage) -> str:
+    """Stages may also be defined outside this package."""
+    code = getattr(stage, "__code__", None)
+    return "" if code is None else repr((code.co_code, code.co_names, [c for c in code.co_consts if isinstance(c, (str, int, float, tuple, type(None)))]))
+
+
 def table_sources(spark: SparkSession) -> Callable[[str], DataFrame | None]:
     """Sources taken from the session catalog."""
 

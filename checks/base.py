@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chartloom.functions.arrays import array_text
 from chartloom.session import tune
 from chartloom.sources.catalog import Catalog
+from chartloom.sources.files import facts
 from chartloom.sources.sinks import shared_workspace
 
 from .roles import TABLES, compose, cte_names
@@ -18,7 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-_SCHEMAS: dict = {}  # read from each file once, so that later reads start no job
+_SCHEMAS: dict = {}  # read from each table once while its files stay the same, so that later reads start no job
 
 
 class Tables:
@@ -32,9 +33,10 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        known = (path, *facts(self.spark, [path]))
+        if known not in _SCHEMAS:
+            _SCHEMAS[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def check(name: str, sql: str | None = None):
@@ -59,21 +61,22 @@ def role_frame(tables: Tables, sql: str) -> DataFrame:
     return tables.spark.sql(sql)
 
 
-_CATALOGS: dict = {}
+_WORKSPACES: dict = {}
 
 
-def role_catalog(tables: Tables, roles, stages, contracts, shared=(), **options) -> Catalog:
-    """The catalog of a group of datasets, one per session and folder.
+def role_catalog(tables: Tables, roles, stages, contracts, shared=(), bucket_by=None, **options) -> Catalog:
+    """A catalog of a group of datasets; all catalogs of a session keep their cohorts in one workspace.
 
-    Queries of a group therefore read the same stored cohorts, as the published
-    scripts do, instead of storing one each; a query composes its own stage anew.
+    Queries therefore read the same stored cohorts, as the published scripts do, as long as the
+    tables behind them stay the same; a query composes its own stage anew.
     """
-    key = (tables.spark.sparkContext.applicationId, tables.folder, id(roles), id(stages), str(options))
-    if key not in _CATALOGS:
-        sources = {name: (lambda text=sql: role_frame(tables, text)) for name, sql in roles.items()}
-        workspace = shared_workspace(tables.spark)
-        _CATALOGS[key] = Catalog(tables.spark, sources, stages, contracts, options, shared, workspace)
-    return _CATALOGS[key]
+    application = tables.spark.sparkContext.applicationId
+    if application not in _WORKSPACES:
+        _WORKSPACES[application] = shared_workspace(tables.spark, {})
+    workspace = _WORKSPACES[application]
+    workspace.bucket_by.update(bucket_by or {})
+    sources = {name: (lambda text=sql: role_frame(tables, text)) for name, sql in roles.items()}
+    return Catalog(tables.spark, sources, stages, contracts, options, shared, workspace)
 
 
 def arrays_as_text(df: DataFrame) -> DataFrame:
