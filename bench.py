@@ -47,7 +47,7 @@ GROUPS = {
     "preop": (PREOP, preop, {}),
     "tiva": (TIVA, tiva, {}),
     "site_a": (SITE_A, site_a, {"as_of": AS_OF}),
-    "site_b": (SITE_B, site_b, {}),
+    "site_b": (SITE_B, site_b, {"bucket_by": site_b.BUCKETS}),
 }
 
 
@@ -60,9 +60,7 @@ def main() -> None:
     for group, (roles, plan, options) in GROUPS.items():
         start = time.time()
         cat = role_catalog(Tables(spark, folder), roles, plan.STAGES, plan.CONTRACTS, plan.SHARED, **options)
-        for name in plan.STAGES:
-            if name in plan.SHARED:
-                cat.find(name)
+        cat.keep(name for name in plan.STAGES if name in plan.SHARED)
         times[f"store_{group}"] = round(time.time() - start, 3)
     for name in HEADLINE:
         start = time.time()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from chartloom.functions.arrays import distinct_text
@@ -16,11 +18,15 @@ from chartloom.sources.catalog import Catalog
 from .stages import Stages
 
 STAGES = Stages()
+SIDES = ["support", "treatment", "registry_dx", "visit_dx", "visits", "plans", "studies"]
 SHARED = {
+    "analytics_b.cancer_encounters",
     "analytics_b.cancer_patient_demographic",
     "analytics_b.cancer_combine_wo_dx_name",
     "analytics_b.fh_cancer_reporting",
+    *(f"store_b.{side}" for side in SIDES),
 }
+BUCKETS = {stage: "pat_id" for stage in ("analytics_b.cancer_patient_demographic", *(f"store_b.{side}" for side in SIDES))}
 
 # Input contracts.
 CONTRACTS = {
@@ -339,12 +345,18 @@ def cancer_iv_chemo_startdate(cat: Catalog) -> DataFrame:
     return first.select("pat_id", F.col("taken_time").alias("start_date"), "medication_name", F.lit("IV").alias("route"), "row")
 
 
+def _chemo_starts(cat: Catalog) -> DataFrame:
+    oral = cat["analytics_b.cancer_oral_chemo_startdate"].withColumn("ordering_date", F.col("ordering_date").cast("timestamp_ntz"))
+    return cat["analytics_b.cancer_iv_chemo_startdate"].union(oral).drop("row")
+
+
+CHEMO_ORDER = ["start_date", "medication_name", "route"]
+
+
 @STAGES("analytics_b.cancer_chemo_combine_startdate")
 def cancer_chemo_combine_startdate(cat: Catalog) -> DataFrame:
     """At most one intravenous and one oral start per patient, stacked by position."""
-    oral = cat["analytics_b.cancer_oral_chemo_startdate"].withColumn("ordering_date", F.col("ordering_date").cast("timestamp_ntz"))
-    both = cat["analytics_b.cancer_iv_chemo_startdate"].union(oral).drop("row")
-    return first_per(both, ["pat_id"], [up("start_date"), up("medication_name"), up("route")], n=2, rank="row")
+    return first_per(_chemo_starts(cat), ["pat_id"], [up(c) for c in CHEMO_ORDER], n=2, rank="row")
 
 
 def _radiation(cat: Catalog, component: str) -> DataFrame:
@@ -512,54 +524,122 @@ PLANS = "treatment_plan_count treatment_plan_names first_treatment_plan_order_da
 TREATMENT = ["chemo_start_date", "chemo_route_type", "radiation_start_date", *SUPPORT.values()]
 
 
-@STAGES("analytics_b.cancer_combine_wo_dx_name")
-def cancer_combine_wo_dx_name(cat: Catalog) -> DataFrame:
-    """Patient by study: everything known about a patient, each domain cut to its first row.
+# The patient store: one row per patient and domain (a row per study for studies), kept in buckets of the patient.
 
-    The registry diagnosis replaces the visit diagnosis as a whole when it has
-    both a date and a code. The child-life date is reached through the
-    oncologist, so patients without one lack it; option
-    ``child_life_needs_oncologist=False`` uses the patient instead.
-    """
-    patient = ["pat_id"]
-    visits = cat["analytics_b.cancer_encounters"].groupBy("pat_id").agg(
-        F.countDistinct("pat_enc_csn_id").alias("number_of_visits")
-    )
-    dated = F.col("formatted_date_of_diagnosis_n390")
-    # The pick takes the smallest codes, which the folded code tables hold already.
-    stage = "analytics_b.cancer_naaccr_dx_date"
-    registry = first_per(
-        (cat[stage] if cat.is_stored(stage) else _registry(cat, dedupe=True)).select(
-            "pat_id", dated, "primary_dx_code_10", "secondary1_dx_code_10", "secondary2_dx_code_10"
-        ),
-        patient,
-        [up(dated), up("primary_dx_code_10"), up("secondary1_dx_code_10"), up("secondary2_dx_code_10")],
-    )
-    visit_dx = first_per(cat["analytics_b.cancer_dx"], patient, [up("earliest_diagnosis_date"), up("icd10_dx1")])
+
+@STAGES("store_b.visits")
+def visits(cat: Catalog) -> DataFrame:
+    seen = cat["analytics_b.cancer_encounters"].where("pat_id IS NOT NULL")
+    return seen.groupBy("pat_id").agg(F.countDistinct("pat_enc_csn_id").alias("number_of_visits"))
+
+
+@STAGES("store_b.registry_dx")
+def registry_dx(cat: Catalog) -> DataFrame:
+    """First registry diagnosis; the pick takes the smallest codes, which the folded code tables hold already."""
+    stage, codes = "analytics_b.cancer_naaccr_dx_date", ["primary_dx_code_10", "secondary1_dx_code_10", "secondary2_dx_code_10"]
+    dated = "formatted_date_of_diagnosis_n390"
+    rows = cat[stage] if cat.is_stored(stage) else _registry(cat, dedupe=True)
+    return first_per(rows.select("pat_id", dated, *codes), ["pat_id"], [up(c) for c in (dated, *codes)])
+
+
+@STAGES("store_b.visit_dx")
+def visit_dx(cat: Catalog) -> DataFrame:
+    return first_per(cat["analytics_b.cancer_dx"], ["pat_id"], [up("earliest_diagnosis_date"), up("icd10_dx1")])
+
+
+@STAGES("store_b.treatment")
+def treatment(cat: Catalog) -> DataFrame:
+    """First oncologist, chemotherapy and radiation of a patient."""
     oncologist = STAGES.first(cat, "analytics_b.cancer_prime_onc").select(
         "pat_id", "primary_oncologist", F.lit(True).alias("_has_oncologist")
     )
-    chemo = cat["analytics_b.cancer_chemo_combine_startdate"].where("row = 1").select(
+    chemo = first_per(_chemo_starts(cat), ["pat_id"], [up(c) for c in CHEMO_ORDER]).select(
         "pat_id", F.col("start_date").alias("chemo_start_date"), F.col("route").alias("chemo_route_type")
     )
     radiation = STAGES.first(cat, "analytics_b.cancer_rad_startdate").select(
         "pat_id", F.col("ord_value").alias("radiation_start_date")
     )
-    studies = cat["analytics_b.cancer_research_reporting"].select(
-        "pat_id", mapped(F.col("study_type_c"), STUDY_TYPES).alias("study_type"), "research_study_name"
-    )
+    return oncologist.join(chemo, "pat_id", "full").join(radiation, "pat_id", "full")
+
+
+@STAGES("store_b.support")
+def support(cat: Catalog) -> DataFrame:
+    """First dates of all supportive-care stages, from one reading of each source.
+
+    A stage's first row holds its smallest date, so every source gives a row of dates per record,
+    null where the record belongs to no stage, and one aggregate takes the smallest.
+    """
+    patients = _people(cat).distinct()
+    named = cat["reference_b.clarity_eap"].select(F.col("proc_id").alias("px_id")).distinct()
+    ordered = cat["source_b.referral_px"].where(F.col("px_id").isin(PSYCHOLOGY_PROCEDURES + NUTRITION_PROCEDURES))
+    referrals = cat["source_b.referral"].join(patients, "pat_id", "left_semi")
+    referrals = referrals.join(ordered.join(named, "px_id", "left_semi").select("referral_id", "px_id"), "referral_id", "left")
+    referred = {
+        "psychology_referral_date": F.col("px_id").isin(PSYCHOLOGY_PROCEDURES),
+        "nutrition_referral_date": F.col("px_id").isin(NUTRITION_PROCEDURES),
+        "reproductive_med_referral_date": F.col("prov_spec_c") == REPRODUCTIVE_SPECIALTY,
+        "genetics_referral_date": F.col("prov_spec_c") == GENETICS_SPECIALTY,
+    }
+
+    question, answered = F.col("ord_quest_id"), F.col("ord_quest_resp").isNotNull()
+    social = question == SOCIAL_WORK_QUESTION
+    palliative = question.isin(PALLIATIVE_QUESTIONS) & answered
+    known = cat["reference_b.cl_qquest"].select(F.col("quest_id").alias("ord_quest_id"), F.lit(True).alias("_known")).distinct()
+    asked = cat["source_b.ord_spec_quest"].where(social | palliative).withColumnRenamed("order_id", "order_proc_id")
+    asked = asked.select("order_proc_id", "ord_quest_id", "ord_quest_resp").distinct().join(known, "ord_quest_id", "left")
+    orders = cat["source_b.order_proc"].join(patients, "pat_id", "left_semi").join(asked, "order_proc_id")
+    procedures = {
+        "social_work_referral_date": social & F.col("_known"),
+        "palliative_care_referral_date": palliative & (F.col("proc_id") == PALLIATIVE_PROCEDURE),
+    }
+
+    def dated(rows: DataFrame, day: str, when: dict) -> DataFrame:
+        moment = F.col(day).cast("timestamp_ntz")
+        nothing = F.lit(None).cast("timestamp_ntz")
+        return rows.select("pat_id", *[(F.when(when[n], moment) if n in when else nothing).alias(n) for n in SUPPORT.values()])
+
+    always = F.lit(True)
+    rows = [
+        dated(referrals, "entry_date", referred),
+        dated(orders, "ordering_date", procedures),
+        dated(cancer_childlife_startdate(cat), "child_life_contact_date", {"child_life_referral_date": always}),
+        dated(cancer_fertility_combine(cat), "fertility_referral_date", {"fertility_referral_date": always}),
+    ]
+    return reduce(DataFrame.union, rows).groupBy("pat_id").agg(*[F.min(n).alias(n) for n in SUPPORT.values()])
+
+
+@STAGES("store_b.plans")
+def plans(cat: Catalog) -> DataFrame:
+    return cat["analytics_b.cancer_treatment_plan_summary"].where("pat_id IS NOT NULL")
+
+
+@STAGES("store_b.studies")
+def studies(cat: Catalog) -> DataFrame:
+    kind = mapped(F.col("study_type_c"), STUDY_TYPES).alias("study_type")
+    return cat["analytics_b.cancer_research_reporting"].select("pat_id", kind, "research_study_name").distinct()
 
-    full = cat["analytics_b.cancer_patient_demographic"].join(visits, "pat_id")
-    for side in (registry, visit_dx, oncologist, chemo, radiation):
-        full = full.join(side, "pat_id", "left")
-    full = full.join(STAGES.first_values(cat, SUPPORT), "pat_id", "left")
+
+@STAGES("analytics_b.cancer_combine_wo_dx_name")
+def cancer_combine_wo_dx_name(cat: Catalog) -> DataFrame:
+    """Patient by study: everything known about a patient, each domain cut to its first row.
+
+    All sides are kept in buckets of the patient, so the joins need no shuffle. The registry
+    diagnosis replaces the visit diagnosis as a whole when it has both a date and a code. The
+    child-life date is reached through the oncologist, so patients without one lack it; option
+    ``child_life_needs_oncologist=False`` uses the patient instead.
+    """
+    dated = F.col("formatted_date_of_diagnosis_n390")
+    people = "analytics_b.cancer_patient_demographic"
+    cat.keep(BUCKETS)
+    full = cat[people].join(cat["store_b.visits"], "pat_id")
+    for side in ("registry_dx", "visit_dx", "treatment", "support"):
+        full = full.join(cat[f"store_b.{side}"], "pat_id", "left")
     for name in SUPPORT.values():
         kept = F.col(name) if name == "fertility_referral_date" else F.col(name).cast("date")
         if name == "child_life_referral_date" and cat.option("child_life_needs_oncologist", True):
             kept = F.when(F.col("_has_oncologist"), kept)
         full = full.withColumn(name, kept)
-    full = full.join(cat["analytics_b.cancer_treatment_plan_summary"], "pat_id", "left")
-    full = full.join(studies.distinct(), "pat_id", "left")
+    full = full.join(cat["store_b.plans"], "pat_id", "left").join(cat["store_b.studies"], "pat_id", "left")
 
     chosen = prefer(
         dated.isNotNull() & F.col("primary_dx_code_10").isNotNull(),

@@ -7,8 +7,11 @@ import hashlib
 import json
 import pathlib
 import re
+import weakref
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -16,6 +19,7 @@ from .files import facts
 from .sinks import ParquetSink, Sink
 
 Stage = Callable[["Catalog"], DataFrame]
+WRITERS = 4  # stages that are stored at the same time
 
 
 def conform(df: DataFrame, contract: StructType, table: str) -> DataFrame:
@@ -73,6 +77,10 @@ class Catalog:
         self._inputs: dict[str, list[str]] = {}  # names that a stage asked for
         self._asking: list[set[str]] = []
         self._prints: dict[str, str] = {}
+        self._facts: dict[str, list] = {}  # of input files, looked up once
+        self._sourced: dict[str, DataFrame | None] = {}
+        self._writing: dict[str, Future[DataFrame]] = {}
+        self._pool = ThreadPoolExecutor(WRITERS)  # starts threads when they are needed
 
     def option(self, name: str, default):
         return self.options.get(name, default)
@@ -86,8 +94,11 @@ class Catalog:
                 df = conform(df, StructType.fromDDL(self._contracts[name]), name)
             if df is not None:
                 self._stored.add(name)
+            elif name in self._shared and name in self._stages:
+                self.keep([name])
+                return self._resolved[name]
             elif name in self._stages:
-                df = self._kept(name) if name in self._shared else self.compose(name)
+                df = self.compose(name)
             if df is None:
                 return None
             self._resolved[name] = df
@@ -101,21 +112,51 @@ class Catalog:
         finally:
             self._inputs[name] = sorted(self._asking.pop())
 
-    def _kept(self, name: str) -> DataFrame:
-        """The rows stored for the present inputs; computed and stored if there are none."""
-        note = self._workspace.note(name)
-        df = None
-        if note and all(n in self._stages for n in json.loads(note)):
-            self._inputs = json.loads(note) | self._inputs
-            df = self._workspace.find(name, self.fingerprint(name))
-        if df is None:
-            df = self.compose(name)
-            self._prints.pop(name, None)
-            key = self.fingerprint(name)
-            df = self._workspace.find(name, key) or self._workspace.publish(name, df, key)
-            self._workspace.note(name, json.dumps(self._inputs_below(name)))
+    def keep(self, names: Iterable[str]) -> None:
+        """Have shared stages stored, those that do not need each other at the same time.
+
+        Stages are composed in the given order while the rows of earlier ones are being written; one
+        that reads another waits for it.
+        """
+        mine = []
+        for name in names:
+            if name not in self._shared or name not in self._stages or self._has_source(name):
+                self.find(name)
+                continue
+            if self._asking:
+                self._asking[-1].add(name)
+            if name in self._writing:
+                mine.append(name)
+            elif name not in self._resolved:
+                df, key = self._present(name), None
+                if df is None:
+                    df = self.compose(name)
+                    self._prints.pop(name, None)
+                    key = self.fingerprint(name)
+                    present = self._workspace.find(name, key)
+                    df, key = (df, key) if present is None else (present, None)
+                if key is None:
+                    self._store(name, df)
+                else:
+                    self._workspace.note(name, json.dumps(self._inputs_below(name)))
+                    self._writing[name] = self._pool.submit(inheritable_thread_target(self.spark)(self._workspace.publish), name, df, key)
+                    mine.append(name)
+        for name in mine:
+            if name in self._writing:
+                self._store(name, self._writing[name].result())
+                del self._writing[name]
+
+    def _store(self, name: str, df: DataFrame) -> None:
+        self._resolved[name] = df
         self._stored.add(name)
-        return df
+
+    def _present(self, name: str) -> DataFrame | None:
+        """The rows stored for the present inputs, if there are any."""
+        note = self._workspace.note(name)
+        if not note or not all(n in self._stages for n in json.loads(note)):
+            return None
+        self._inputs = json.loads(note) | self._inputs
+        return self._workspace.find(name, self.fingerprint(name))
 
     def _inputs_below(self, name: str) -> dict[str, list[str]]:
         found, todo = {}, [name]
@@ -135,14 +176,18 @@ class Catalog:
         if name.startswith("?"):  # a stage asked whether this is stored
             return str(self.is_stored(name[1:]))
         if name not in self._prints:
-            df = None if name in self._inputs else self.find(name)
+            df = None if name in self._inputs else self._source(name)
+            if df is None and name in self._stages and name not in self._inputs:
+                self.find(name)
             if name in self._inputs:
                 parts = [name, self.options, code_print(), _own_code(self._stages[name]), [(i, self.fingerprint(i)) for i in self._inputs[name]]]
             elif df is None:
                 parts = [name, "absent"]
             else:
-                files = df.inputFiles()
-                parts = [name, df.dtypes, facts(self.spark, files), _plan_text(df)]
+                files, text = _reads(df)
+                new = [f for f in files if f not in self._facts]
+                self._facts.update((f, facts(self.spark, [f])) for f in new)
+                parts = [name, self._contracts.get(name), [self._facts[f] for f in files], text]
                 if not files:
                     parts += [df.semanticHash(), self.spark.sparkContext.applicationId]
             self._prints[name] = hashlib.sha256(repr(parts).encode()).hexdigest()
@@ -172,9 +217,11 @@ class Catalog:
 
     def _source(self, name: str) -> DataFrame | None:
         if callable(self._sources):
-            return self._sources(name)
-        make = self._sources.get(name)
-        return None if make is None else make()
+            return self._sources(name)  # a table may have been published meanwhile
+        if name not in self._sourced:
+            make = self._sources.get(name)
+            self._sourced[name] = None if make is None else make()
+        return self._sourced[name]
 
     def refresh(self, sink: Sink, names: Iterable[str]) -> dict[str, DataFrame]:
         """Rebuild stages in the given order; later ones read what earlier ones stored.
@@ -190,15 +237,21 @@ class Catalog:
         return done
 
 
-def _plan_text(df: DataFrame) -> str:
-    """The analyzed plan without the numbers that differ from one session to the next."""
-    spark = df.sparkSession
-    before = spark.conf.get("spark.sql.debug.maxToStringFields")
-    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
-    try:
-        return re.sub(r"#\d+L?", "", df._jdf.queryExecution().analyzed().toString())
-    finally:
-        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+_READS: weakref.WeakKeyDictionary[DataFrame, tuple[list[str], str]] = weakref.WeakKeyDictionary()
+
+
+def _reads(df: DataFrame) -> tuple[list[str], str]:
+    """The files that a frame reads, and its analyzed plan without the numbers that differ between sessions."""
+    if df not in _READS:
+        spark = df.sparkSession
+        before = spark.conf.get("spark.sql.debug.maxToStringFields")
+        spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+        try:
+            text = re.sub(r"#\d+L?", "", df._jdf.queryExecution().analyzed().toString())
+        finally:
+            spark.conf.set("spark.sql.debug.maxToStringFields", before)
+        _READS[df] = (sorted(df.inputFiles()), text)
+    return _READS[df]
 
 
 @functools.cache

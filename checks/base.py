@@ -28,12 +28,20 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._states: dict[str, tuple] = {}
+
+    def state(self, name: str) -> tuple:
+        """Path, sizes and times of a table's files, looked up once per query."""
+        if name not in self._states:
+            path = f"{self.folder}/{name}.parquet"
+            self._states[name] = (path, *facts(self.spark, [path]))
+        return self._states[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        path = f"{self.folder}/{name}.parquet"
-        known = (path, *facts(self.spark, [path]))
+        known = self.state(name)
+        path = known[0]
         if known not in _SCHEMAS:
             _SCHEMAS[known] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[known]).parquet(path)
@@ -53,12 +61,18 @@ def check(name: str, sql: str | None = None):
     return add
 
 
+_ROLES: dict = {}
+
+
 def role_frame(tables: Tables, sql: str) -> DataFrame:
-    """A role text over the driver's tables."""
-    used = {w for w in re.findall(r"[a-z_]+", sql) if w in TABLES}
-    for name in used:
-        getattr(tables, name).createOrReplaceTempView(name)
-    return tables.spark.sql(sql)
+    """A role text over the driver's tables; made once while these stay the same."""
+    used = sorted({w for w in re.findall(r"[a-z_]+", sql) if w in TABLES})
+    key = (tables.spark.sparkContext.applicationId, sql, *(tables.state(name) for name in used))
+    if key not in _ROLES:
+        for name in used:
+            getattr(tables, name).createOrReplaceTempView(name)
+        _ROLES[key] = tables.spark.sql(sql)
+    return _ROLES[key]
 
 
 _WORKSPACES: dict = {}

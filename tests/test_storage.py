@@ -6,6 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from chartloom.plans import site_b
 from chartloom.sources.catalog import Catalog, table_sources
 from chartloom.sources.files import facts, read_text, replace_text
 from chartloom.sources.sinks import ParquetSink, TableSink
@@ -154,3 +155,42 @@ def test_file_facts(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t"))
     names = facts(spark, [str(tmp_path / "t")])
     assert any(n.endswith("_SUCCESS") for n, _, _ in names) and all(size >= 0 and when > 0 for _, size, when in names)
+
+
+def test_stages_are_stored_at_the_same_time_and_once(spark, tmp_path):
+    made = []
+
+    def stage(name, *reads):
+        def build(cat):
+            made.append(name)
+            rows = [cat[r] for r in reads] or [cat["base"]]
+            return rows[0].select((F.col("n") + len(rows)).alias("n"))
+
+        return build
+
+    stages = {"a": stage("a"), "b": stage("b", "a"), "c": stage("c"), "d": stage("d", "a", "c"), "e": stage("e", "d", "b")}
+    base = spark.range(4).toDF("n")
+    cat = Catalog(spark, {"base": lambda: base}, stages, shared="abcde", workspace=ParquetSink(spark, str(tmp_path)))
+    cat.keep("acbde")
+    assert made == list("acbde") and found(cat["e"]) == [(n + 5,) for n in range(4)] and cat.rows("e") == 4
+    again = Catalog(spark, {"base": lambda: base}, stages, shared="abcde", workspace=ParquetSink(spark, str(tmp_path)))
+    _, started = jobs(spark, lambda: again.keep("edcba"))
+    assert started == 0 and made == list("acbde")
+
+
+def test_the_patient_model_joins_its_sides_without_a_shuffle(spark, tmp_path):
+    """Every domain is read once from its buckets; nothing above the stored sides is shuffled."""
+
+    def source(name):
+        return spark.createDataFrame([], site_b.CONTRACTS[name]) if name in site_b.CONTRACTS else None
+
+    sink = ParquetSink(spark, str(tmp_path), bucket_by=site_b.BUCKETS)
+    cat = Catalog(spark, source, site_b.STAGES, site_b.CONTRACTS, shared=site_b.SHARED, workspace=sink)
+    for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(setting, "-1")
+    try:
+        plan = plan_of(cat.compose("analytics_b.cancer_combine_wo_dx_name"))
+    finally:
+        for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(setting)
+    assert "Exchange" not in plan and plan.count("Scan parquet") == len(site_b.BUCKETS)
