@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chartloom.functions.text import strip_dots
+from chartloom.sources.sinks import stored
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | Mapping[str, str], names: Mapping[str, str] | Sequence[str]) -> DataFrame:
@@ -29,6 +30,33 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | Mapping[str, str], names: Ma
     return df.join(side, condition, "left").drop(*[f"_on_{l}" for l in pairs])
 
 
+def lookup_columns(df: DataFrame, dim: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Name several code columns from one table of (code, value), read and joined once.
+
+    ``columns`` maps a code column to the column to add. All codes of a row are melted to (row,
+    position, code), joined, and gathered by row again; a row repeats for every combination of the
+    values its codes have, as with one left join per column. Codes that are null never travel. The
+    rows are stored first, because their numbers must not change if a task runs again.
+    """
+    if len(columns) < 2:
+        code, value = dim.columns
+        return lookup(df, dim, {c: code for c in columns}, {value: n for n in columns.values()}) if columns else df
+    dim = dim.toDF("_code", "_value")
+    kind = dim.schema["_code"].dataType
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()))
+    entries = [F.struct(F.lit(i).alias("_at"), F.col(c).cast(kind).alias("_code")) for i, c in enumerate(columns)]
+    melted = rows.select("_row", F.inline(F.array(*entries))).where(F.col("_code").isNotNull())
+    hits = melted.join(dim, "_code").groupBy("_row").agg(F.collect_list(F.struct("_at", "_value")).alias("_hits"))
+    out = rows.join(hits, "_row", "left")
+
+    def values(at: int) -> Column:
+        return F.transform(F.filter("_hits", lambda h: h["_at"] == at), lambda h: h["_value"])
+
+    for i, name in enumerate(columns.values()):
+        out = out.withColumn(name, F.explode_outer(values(i)))
+    return out.drop("_row", "_hits")
+
+
 def prefer(primary_ok: Column, primary: Mapping[str, Column], fallback: Mapping[str, Column], name: str) -> Column:
     """All values from one source or all from the other, as a struct."""
     if list(primary) != list(fallback):
@@ -54,16 +82,14 @@ def lookup_chain(df: DataFrame, columns: Mapping[str, str], dims: Sequence[DataF
     """Name each code column from the first table that knows the code.
 
     ``columns`` maps a code column to the name column to add. The tables are
-    merged once, so each code column costs one join however long the chain is.
+    merged once, and all code columns are named by one join with them.
     A code with several names in its table yields several rows unless ``dedupe``.
     """
     merged = first_source(dims)
     code, value = merged.columns
     if dedupe:
         merged = merged.groupBy(code).agg(F.min(value).alias(value))
-    for column, name in columns.items():
-        df = lookup(df, merged, {column: code}, {value: name})
-    return df
+    return lookup_columns(df, merged, columns)
 
 
 def dotless_codes(codes: DataFrame) -> DataFrame:
@@ -77,8 +103,8 @@ def normalize_codes(
     """Dotless codes to their dotted spelling, from one code table or else the other.
 
     ``columns`` maps a raw column to the column to add. The two tables are
-    merged by a full join on the bare code, so each raw column costs one lookup
-    and still repeats a row for every pair of entries, as two outer joins would.
+    merged by a full join on the bare code, and all raw columns are looked up in
+    one join; a row still repeats for every pair of entries, as two outer joins would.
     Extra columns of the tables, such as names, count as separate entries
     unless ``dedupe``.
     """
@@ -87,9 +113,7 @@ def normalize_codes(
     merged = merged.select("bare", F.coalesce("code", "_second").alias("code"))
     if dedupe:
         merged = merged.groupBy("bare").agg(F.min("code").alias("code"))
-    for raw, name in columns.items():
-        df = lookup(df, merged, {raw: "bare"}, {"code": name})
-    return df
+    return lookup_columns(df, merged, columns)
 
 
 def practice_location(

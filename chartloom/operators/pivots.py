@@ -18,6 +18,21 @@ def pivot_first(
     )
 
 
+def _pivoted(df: DataFrame, keys: Sequence[str], item: Column, out: Mapping[str, tuple[Column, Sequence[str], object]]) -> DataFrame:
+    """One row per key; each output is (aggregate, items it is made of, value if the key has none of them).
+
+    The items that a key has are gathered as a set, no larger than the list of items. That also lets
+    Spark aggregate by hash, in the tasks first: a maximum of texts alone would make it sort all rows.
+    """
+    found = df.groupBy(*keys).agg(F.collect_set(item).alias("_found"), *[total.alias(name) for name, (total, _, _) in out.items()])
+
+    def value(name: str, items: Sequence[str], missing: object) -> Column:
+        some = F.arrays_overlap("_found", F.array(*[F.lit(i) for i in items]))
+        return F.when(some, F.col(name)).otherwise(F.lit(missing)).cast(found.schema[name].dataType).alias(name)
+
+    return found.select(*keys, *[value(name, items, missing) for name, (_, items, missing) in out.items()])
+
+
 def elements_pivot(
     df: DataFrame,
     keys: Sequence[str],
@@ -28,35 +43,25 @@ def elements_pivot(
 ) -> DataFrame:
     """Key/value rows to columns: output name to element name(s); the largest value wins.
 
-    Repeated pairs are folded by a hash aggregate before the pivot, since a maximum of texts
-    would make every task sort its rows. Keys without any wanted element keep a row.
+    Keys without any wanted element keep a row.
     """
     cast = cast or {}
-    every = [e for wanted in columns.values() for e in ([wanted] if isinstance(wanted, str) else wanted)]
-    known = F.col(element).isin(every)
-    pairs = {element: F.when(known, F.col(element)), value: F.when(known, F.col(value))}
-    df = df.select(*keys, *[c.alias(n) for n, c in pairs.items()]).distinct()
-    out = []
+    out = {}
     for name, wanted in columns.items():
         names = [wanted] if isinstance(wanted, str) else list(wanted)
         read = cast.get(name, lambda c: c)
-        out.append(F.max(F.when(F.col(element).isin(names), read(F.col(value)))).alias(name))
-    return df.groupBy(*keys).agg(*out)
+        out[name] = (F.max(F.when(F.col(element).isin(names), read(F.col(value)))), names, None)
+    every = [e for _, names, _ in out.values() for e in names]
+    return _pivoted(df, keys, F.when(F.col(element).isin(every), F.col(element)), out)
 
 
 def conditional_totals(
     df: DataFrame, keys: Sequence[str], item: str, amount: Column, unit: str, items: Mapping[str, str]
 ) -> DataFrame:
-    """Total amount and unit of each item per key; ``items`` maps an item to a column stem.
-
-    Amounts are added per key, item and unit by a hash aggregate; only these few rows are pivoted.
-    """
-    known = F.col(item).isin([*items])
-    df = df.select(*keys, F.when(known, F.col(item)).alias("_item"), F.when(known, F.col(unit)).alias("_unit"), amount.alias("_amount"))
-    df = df.groupBy(*keys, "_item", "_unit").agg(F.sum("_amount").alias("_amount"))
-    out = []
+    """Total amount and unit of each item per key; ``items`` maps an item to a column stem."""
+    out = {}
     for code, stem in items.items():
-        hit = F.col("_item") == code
-        out.append(F.sum(F.when(hit, F.col("_amount")).otherwise(0)).cast(NUMBER).alias(f"{stem}_total_dose"))
-        out.append(F.max(F.when(hit, F.col("_unit"))).alias(f"{stem}_dose_unit"))
-    return df.groupBy(*keys).agg(*out)
+        hit = F.col(item) == code
+        out[f"{stem}_total_dose"] = (F.sum(F.when(hit, amount).otherwise(0)).cast(NUMBER), [code], 0)
+        out[f"{stem}_dose_unit"] = (F.max(F.when(hit, F.col(unit))), [code], None)
+    return _pivoted(df, keys, F.when(F.col(item).isin([*items]), F.col(item)), out)

@@ -9,7 +9,7 @@ from chartloom.operators.cohorts import cohort, matching, with_codes
 from chartloom.operators.keys import join_any_key, unpivot_keys
 from chartloom.operators.lookups import lookup
 from chartloom.operators.pivots import conditional_totals
-from chartloom.operators.reports import qa_report
+from chartloom.operators.reports import stored_report
 from chartloom.operators.windows import within_window
 from chartloom.sources.catalog import Catalog
 
@@ -331,7 +331,9 @@ REPORTED = {
     "Body measurements": "analytics.tiva_body_measurements",
     "Supplemental body measurements": "analytics.tiva_missing_body_measurements",
 }
+PUBLISHED = SHARED | set(REPORTED.values())
 
 
 def volume_report(cat: Catalog) -> DataFrame:
-    return qa_report({label: cat[name] for label, name in REPORTED.items()}, distinct="log_id")
+    """Volumes of the published datasets; the catalog must store them (``PUBLISHED``)."""
+    return stored_report(cat, REPORTED, distinct="log_id")

@@ -14,6 +14,8 @@ SETTINGS = {
     # Split a skewed join even when that costs a later step one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Pivots keep this many small groups in a task's hash table before they sort.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 

@@ -10,9 +10,9 @@ from pyspark.sql import Window, functions as F
 from chartloom.operators.cohorts import categorize, cohort, matching, with_codes
 from chartloom.operators.harmonize import harmonize
 from chartloom.operators.keys import join_any_key, unpivot_keys
-from chartloom.operators.lookups import lookup, lookup_chain, normalize_codes, practice_location, prefer
+from chartloom.operators.lookups import lookup, lookup_chain, lookup_columns, normalize_codes, practice_location, prefer
 from chartloom.operators.picks import down, first_per, rank_all, spread_top, up
-from chartloom.operators.pivots import elements_pivot, pivot_first
+from chartloom.operators.pivots import conditional_totals, elements_pivot, pivot_first
 from chartloom.operators.privacy import deidentify, limited_dataset
 from chartloom.operators.reports import qa_report
 from chartloom.operators import skew
@@ -184,6 +184,33 @@ def test_codes_without_dots(rows):
     assert len(found(normalize_codes(df, {"raw": "code"}, first, second, dedupe=True))) == 3
 
 
+def test_many_code_columns_take_one_join(rows):
+    """Every combination of values, as one left join per column gives; equal rows, null and unknown codes stay."""
+    data = [("a", "b", "a"), ("a", "b", "a"), (None, "z", "b"), (None, None, None), ("c", "c", "c")]
+    df = rows(data, "x string, y string, w string")
+    dim = rows([("a", "A1"), ("a", "A2"), ("b", "B"), ("c", None), (None, "never"), ("d", "D")], "code string, name string")
+    columns = {"x": "x_name", "y": "y_name", "w": "w_name"}
+    one_by_one = df
+    for c, n in columns.items():
+        one_by_one = lookup(one_by_one, dim, {c: "code"}, {"name": n})
+    melted = lookup_columns(df, dim, columns)
+    joins = [line for line in plan_of(melted).splitlines() if "Join " in line]
+    assert sum("_code" in j for j in joins) == 1
+    assert found(melted) == found(one_by_one) and len(found(melted)) == 11 and melted.columns == one_by_one.columns
+    assert found(lookup_columns(df.limit(0), dim, columns)) == [] and lookup_columns(df, dim, {}).columns == df.columns
+
+
+def test_pivots_of_texts_aggregate_by_hash(rows):
+    kv = rows([(None, "x", None), ("p", "x", "b"), ("p", "x", "a"), ("p", None, "q"), ("q", "y", "1")], "k string, e string, v string")
+    out = elements_pivot(kv, ["k"], "e", "v", {"a": "x", "b": ["y", "z"]})
+    assert found(out) == [("p", "b", None), ("q", None, "1"), (None, None, None)]
+    doses = rows([("p", "i", Decimal("1.5"), "mg"), ("p", "i", Decimal("2"), "mL"), ("p", "j", None, None), (None, "k", Decimal("9"), "g")], "k string, i string, d decimal(9,2), u string")
+    totals = conditional_totals(doses, ["k"], "i", F.col("d"), "u", {"i": "one", "j": "two"})
+    assert found(totals) == [("p", Decimal("3.5"), "mg", Decimal(0), None), (None, Decimal(0), None, Decimal(0), None)]
+    for df in (out, totals):
+        assert "SortAggregate" not in plan_of(df) and "ObjectHashAggregate" in plan_of(df)
+
+
 def test_source_preference_switches_everything(rows):
     df = rows([("r", None, "v", "w"), (None, "s", "v", "w")], "a string, b string, c string, d string")
     a, b, c, d = (F.col(x) for x in "abcd")

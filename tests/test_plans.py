@@ -5,13 +5,16 @@ from decimal import Decimal
 
 import pytest
 
+from chartloom.operators.reports import qa_report
 from chartloom.plans import broker, preop, site_a, site_b, tiva
 from chartloom.sources.catalog import Catalog, table_sources
 from chartloom.sources.sinks import ParquetSink, TableSink, ViewSink, shared_workspace
 
+from plan_text import plan_of
 
-def catalog(spark, module, tables, **options):
-    """Catalog whose missing inputs are empty tables of the declared shape."""
+
+def catalog(spark, module, tables, store=None, **options):
+    """Catalog whose missing inputs are empty tables of the declared shape; ``store`` is a folder for published datasets."""
 
     def source(name):
         if name in tables:
@@ -21,7 +24,9 @@ def catalog(spark, module, tables, **options):
             return spark.createDataFrame([], module.CONTRACTS[name])
         return None
 
-    return Catalog(spark, source, module.STAGES, module.CONTRACTS, options)
+    if store is None:
+        return Catalog(spark, source, module.STAGES, module.CONTRACTS, options)
+    return Catalog(spark, source, module.STAGES, module.CONTRACTS, options, shared=module.PUBLISHED, workspace=ParquetSink(spark, str(store)))
 
 
 START = datetime(2020, 5, 1, 8)
@@ -119,13 +124,18 @@ def test_tiva_missing_body_measurements(spark, tiva_tables):
     assert [(r.patient_id, r.measure_value) for r in got] == [("p1", "31")]
 
 
-def test_tiva_report_counts(spark, tiva_tables):
-    cat = catalog(spark, tiva, tiva_tables)
-    report = {r.dataset: (r.record_count, r.distinct_case_count) for r in tiva.volume_report(cat).collect()}
+def test_tiva_report_counts(spark, tiva_tables, tmp_path):
+    """Rows as counted while they were written; cases from one aggregate over stored columns, sources are not read."""
+    cat = catalog(spark, tiva, tiva_tables, store=tmp_path)
+    lines = tiva.volume_report(cat)
+    assert "LocalTableScan" not in plan_of(lines).split("Aggregate")[-1] and plan_of(lines).count("Scan parquet") == 10
+    report = {r.dataset: (r.record_count, r.distinct_case_count) for r in lines.collect()}
     assert report["TIVA cohort"] == (3, 2) and len(report) == 10
+    plain = qa_report({label: cat[name] for label, name in tiva.REPORTED.items()}, distinct="log_id")
+    assert {tuple(r) for r in plain.collect()} == {(d, *c) for d, c in report.items()}
 
 
-def test_preop_visit_repeats_per_specialty_row(spark):
+def test_preop_visit_repeats_per_specialty_row(spark, tmp_path):
     visits = preop.CONTRACTS["clinical.encounters"]
     names = [c.strip().split()[0] for c in visits.replace("(9,3)", "").split(",")]
     known = {"patient_id": "p", "encounter_id": "e", "department_name": "PREOPERATIVE CLINIC", "visit_type_name": "NEW", "visit_date": date(2020, 1, 1), "visit_provider_id": "d"}
@@ -135,9 +145,10 @@ def test_preop_visit_repeats_per_specialty_row(spark):
         "analytics.study_cohort": ([("p",)], "patient_id string"),
         "reference.provider_specialties": ([("d", "ANESTHESIOLOGY"), ("d", "ANESTHESIOLOGY"), ("d", "X")], "provider_id string, specialty_code string"),
     }
-    cat = catalog(spark, preop, tables)
+    cat = catalog(spark, preop, tables, store=tmp_path)
     assert cat["analytics.preop_encounters"].count() == 2
-    assert len(preop.volume_report(cat).collect()) == 7
+    report = preop.volume_report(cat)
+    assert "Scan parquet" not in plan_of(report) and dict(map(tuple, report.collect()))["Preoperative encounters"] == 2
 
 
 def test_case_model_fans_out_unless_deduped(spark):
