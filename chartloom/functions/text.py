@@ -52,5 +52,43 @@ def mapped(value: Column, labels: dict[str, str]) -> Column:
     return result
 
 
+def like_any(value: Column, patterns: Iterable[str], ignore_case: bool = False) -> Column:
+    """Whether any LIKE pattern matches, from one reading of the text: all patterns are one expression.
+
+    ``ignore_case`` compares lower-cased text and patterns, as ILIKE does. Null for a null text,
+    false without patterns.
+    """
+    wanted = [_like_expression(p.lower() if ignore_case else p) for p in patterns]
+    if not wanted:
+        return F.when(value.isNotNull(), F.lit(False))
+    return (F.lower(value) if ignore_case else value).rlike("(?s)" + "|".join(dict.fromkeys(wanted)))
+
+
+def _like_expression(pattern: str) -> str:
+    """A LIKE pattern as a regular expression to be found anywhere; ends without % are anchored."""
+    parts, literal, at = [], "", 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c in "%_":
+            parts.append(_quoted(literal) + (".*" if c == "%" else "."))
+            literal = ""
+        elif c == "\\":
+            at += 1
+            if at == len(pattern) or pattern[at] not in "%_\\":
+                raise ValueError(f"a backslash must stand before %, _ or another one: {pattern}")
+            literal += pattern[at]
+        else:
+            literal += c
+        at += 1
+    whole = "".join(parts) + _quoted(literal)
+    whole = whole.removeprefix(".*") if pattern.startswith("%") else r"\A" + whole
+    ends_open = parts and parts[-1].endswith(".*") and not literal
+    return f"(?:{whole.removesuffix('.*') if ends_open else whole + chr(92) + 'z'})"
+
+
+def _quoted(literal: str) -> str:
+    return "".join(c if c.isalnum() or c.isspace() else "\\" + c for c in literal)
+
+
 def strip_dots(code: Column) -> Column:
     return F.replace(code, F.lit("."), F.lit(""))

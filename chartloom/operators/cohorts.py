@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from chartloom.functions.text import mapped
+from chartloom.functions.text import like_any, mapped
 
 
 def cohort(
@@ -51,12 +50,12 @@ def categorize(df: DataFrame, code: str, categories: Mapping[str, Sequence[str]]
 def matching(df: DataFrame, column: str, include: Iterable[str] = (), exclude: Iterable[str] = ()) -> DataFrame:
     """Rows whose text matches any ``include`` pattern ignoring case, and no ``exclude`` pattern with case.
 
-    A null text never qualifies.
+    A null text never qualifies. The patterns of either kind are one expression, so a text is
+    read once for each.
     """
-    text = F.col(column)
-    wanted = [text.ilike(p) for p in include]
-    if wanted:
-        df = df.where(reduce(lambda a, b: a | b, wanted))
-    for pattern in exclude:
-        df = df.where(~text.like(pattern))
+    text, include, exclude = F.col(column), list(include), list(exclude)
+    if include:
+        df = df.where(like_any(text, include, ignore_case=True))
+    if exclude:
+        df = df.where(~like_any(text, exclude))
     return df

@@ -24,6 +24,7 @@ from chartloom.operators.skew import ranked
 from chartloom.operators.pivots import conditional_totals, elements_pivot, pivot_first
 from chartloom.operators.privacy import deidentify, limited_dataset
 from chartloom.operators.reports import days_from, qa_report
+from chartloom.operators.surrogates import distinct_ids, extend_crosswalk
 from chartloom.operators.windows import within_window
 from chartloom.sources.catalog import Catalog
 from chartloom.sources.sinks import TableSink, ViewSink, shared_workspace
@@ -889,18 +890,35 @@ def _(t):
 
 @check(
     "deidentified_dataset",
-    """SELECT DISTINCT 'N' || CAST(o_custkey * 3 AS VARCHAR) AS number, sha256('check|' || CAST(o_orderkey AS VARCHAR)) AS token,
-       o_orderdate + (o_custkey % 100) * INTERVAL 1 DAY AS o_orderdate, o_orderstatus FROM orders""",
+    """WITH w AS (SELECT id, row_number() OVER (ORDER BY sha256(id)) AS token FROM (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS id FROM orders) t)
+       SELECT DISTINCT 'N' || CAST(o_custkey * 3 AS VARCHAR) AS number, token, o_orderdate + (o_custkey % 100) * INTERVAL 1 DAY AS o_orderdate, o_orderstatus
+       FROM orders JOIN w ON id = CAST(o_orderkey AS VARCHAR)""",
 )
 def _(t):
     number = F.concat(lit("N"), (col("c_custkey") * 3).cast("string")).alias("number")
     crosswalk = t.customer.select(col("c_custkey").alias("o_custkey"), number, (col("c_custkey") % 100).alias("days"))
-    rows = t.orders.withColumn("o_orderkey", text("o_orderkey"))
+    walk = extend_crosswalk(None, distinct_ids(t.orders, {"o_orderkey": "o_orderkey"}), order=lambda id: F.sha2(id, 256))
     return deidentify(
-        rows, crosswalk, "o_custkey", "number", "days", ["o_orderdate", "o_orderstatus"], ["o_orderdate"], {"o_orderkey": "token"}, "check"
+        t.orders, crosswalk, "o_custkey", "number", "days", ["o_orderdate", "o_orderstatus"], ["o_orderdate"], {"o_orderkey": "token"}, walk
     )
 
 
+@check(
+    "surrogates_kept",
+    """WITH a AS (SELECT id, row_number() OVER (ORDER BY sha256(id)) AS number FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS id FROM orders WHERE o_orderstatus = 'F') t),
+       b AS (SELECT id, row_number() OVER (ORDER BY sha256(id)) + (SELECT max(number) FROM a) AS number
+         FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS id FROM orders) t WHERE id NOT IN (SELECT id FROM a))
+       SELECT 'customer' AS kind, id, number FROM a UNION ALL SELECT 'customer', id, number FROM b""",
+)
+def _(t):
+    def hashed(id):
+        return F.sha2(id, 256)
+
+    sink, kinds = shared_workspace(t.spark), {"o_custkey": "customer"}
+    first = sink.publish("surrogates", extend_crosswalk(None, distinct_ids(t.orders.where("o_orderstatus = 'F'"), kinds), hashed))
+    return sink.publish("surrogates", extend_crosswalk(first, distinct_ids(t.orders, kinds), hashed))
+
+
 @check(
     "categorized_orders",
     """SELECT o_custkey, min(o_orderdate) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS first_fast,

@@ -3,6 +3,7 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from chartloom.functions.arrays import array_text, distinct_text, gather, ordered_array, ordered_text, pluck, rearrange
@@ -16,7 +17,7 @@ from chartloom.functions.dates import (
     shift,
     whole_days,
 )
-from chartloom.functions.text import blank_to_null, by_prefix, canonical_id, is_rejected, mapped, to_number, to_whole
+from chartloom.functions.text import like_any, blank_to_null, by_prefix, canonical_id, is_rejected, mapped, to_number, to_whole
 
 
 def test_numbers_from_text(value):
@@ -111,3 +112,20 @@ def test_array_text(rows):
     assert [r[0] for r in df.select(array_text(F.col("a"))).collect()] == [
         '{a,"b c",NULL,"","null","x,y","q\\"\\\\","{"}', None, "{}"
     ]
+
+
+PATTERNS = ["%ab%", "ab%", "%ab", "a_b", "%a%b%", "_", "%", "", "a.b%", "%(x|y)%", "%50\\%%", "a\\_b", "%\n%", "%é%", "A%Z", "%_x", "x_%"]
+
+
+@pytest.mark.parametrize("ignore_case", [False, True])
+def test_one_expression_matches_like_the_patterns(spark, ignore_case):
+    """Each pattern alone, and all pairs of them, as LIKE and ILIKE decide."""
+    texts = ["", "a", "ab", "xaby", "a.b!", "AxB", "a\nb", "(x|y)", "50%", "a_b", "É", "éz", "AZ", "AbZ\n", "ab\n", None, "x", "xx", "yx\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    text = F.col("t")
+    plain = [text.ilike(p) if ignore_case else text.like(p) for p in PATTERNS]
+    pairs = [(i, (i * 7 + 3) % len(PATTERNS)) for i in range(len(PATTERNS))]
+    one = [like_any(text, [p], ignore_case).alias(f"o{i}") for i, p in enumerate(PATTERNS)] + [like_any(text, [PATTERNS[i], PATTERNS[j]], ignore_case).alias(f"p{i}") for i, j in pairs]
+    two = [p.alias(f"o{i}") for i, p in enumerate(plain)] + [(plain[i] | plain[j]).alias(f"p{i}") for i, j in pairs]
+    assert df.select("t", *one).collect() == df.select("t", *two).collect()
+    assert [r[0] for r in df.select(like_any(text, [])).distinct().collect()].count(False) == 1

@@ -17,9 +17,10 @@ from chartloom.operators.privacy import deidentify, limited_dataset
 from chartloom.operators.reports import qa_report
 from chartloom.operators import skew
 from chartloom.operators.skew import ranked
+from chartloom.operators.surrogates import distinct_ids, extend_crosswalk, with_surrogates
 from chartloom.operators.windows import within_window
 from chartloom.sources.catalog import Catalog, table_sources
-from chartloom.sources.sinks import TableSink, stored
+from chartloom.sources.sinks import ParquetSink, TableSink, stored
 
 from plan_text import plan_of
 
@@ -232,19 +233,32 @@ def test_privacy(rows):
     df = rows([("p", "Ann", datetime(2020, 1, 1, 8), "c1"), ("q", "Bob", datetime(2020, 1, 2), "c2")], "k string, name string, at timestamp_ntz, id string")
     walk = rows([("p", "S1", 10)], "k string, s string, move int")
     assert found(limited_dataset(df, walk, "k", "s", ["at"])) == [("S1", datetime(2020, 1, 1, 8))]
-    out = deidentify(df, walk, "k", "s", "move", ["at"], ["at"], {"id": "token"}, secret="x")
+    numbers = extend_crosswalk(None, distinct_ids(df, {"id": "id"}))
+    out = deidentify(df, walk, "k", "s", "move", ["at"], ["at"], {"id": "token"}, numbers)
     assert out.columns == ["s", "token", "at"]
     row = out.first()
-    assert row["at"] == datetime(2020, 1, 11, 8) and len(row["token"]) == 64
-
+    assert row["at"] == datetime(2020, 1, 11, 8) and row["token"] in (1, 2)
+    with pytest.raises(ValueError):
+        deidentify(df, walk, "k", "s", "move", ["at"], ["at"], {"id": "token"})
+    nowhere = rows([("p", "S1", None)], "k string, s string, move int")
+    assert found(deidentify(df, nowhere, "k", "s", "move", ["at"], ["at"])) == []
+
+
+def test_surrogates_stay_over_refreshes(rows, tmp_path, spark):
+    sink, walk = ParquetSink(spark, str(tmp_path)), {}
+    known = None
+    for n in (30, 30, 50):
+        df = rows([(f"i{i}", f"j{i % 7}", None) for i in range(n)], "a string, b string, c string")
+        known = sink.publish("walk", extend_crosswalk(known, distinct_ids(df, {"a": "case", "b": "log", "c": "log"})))
+        now = {(r["kind"], r["id"]): r["number"] for r in known.collect()}
+        assert walk.items() <= now.items()  # old numbers stay
+        walk = now
+        for kind, size in (("case", n), ("log", 7)):
+            assert sorted(v for (k, _), v in now.items() if k == kind) == list(range(1, size + 1))
+    assert [walk["case", f"i{i}"] for i in range(30)] != list(range(1, 31))  # in no order of the ids
+    named = with_surrogates(rows([("i3", "j3"), ("i3", None), ("zz", "j1")], "a string, b string"), known, {"a": "case", "b": "log"}, {"a": "x", "b": "y"})
+    assert found(named) == sorted([("i3", "j3", walk["case", "i3"], walk["log", "j3"]), ("i3", None, walk["case", "i3"], None), ("zz", "j1", None, walk["log", "j1"])], key=str)
 
-def test_hashed_ids_need_a_secret(rows):
-    df = rows([("p", datetime(2020, 1, 1), "c1"), ("q", datetime(2020, 1, 1), "c2")], "k string, at timestamp_ntz, id string")
-    walk = rows([("p", "S1", 10), ("q", "S2", None)], "k string, s string, move int")
-    for secret in (None, ""):
-        with pytest.raises(ValueError):
-            deidentify(df, walk, "k", "s", "move", ["at"], ["at"], {"id": "token"}, secret=secret)
-    assert found(deidentify(df, walk, "k", "s", "move", ["at"], ["at"])) == [("S1", datetime(2020, 1, 11))]
 
 
 def test_published_tables_are_found_again(spark, rows):
