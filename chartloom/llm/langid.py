@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from .batches import coded, filled, row_sums, slices, words
 from .shared import cut
@@ -25,7 +26,8 @@ LONGEST_WORD = 20  # letters; longer runs of letters are scored in parts of this
 LONGEST_PIECE = 12
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = 1e-8  # probability of a letter outside the vocabulary, the same for all languages
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
+LOT_WORDS = 6_000  # words of one length that are cut up at once
 FIT_TASKS = 12  # the counted words of the bounded sample are dealt over so many tasks
 
 
@@ -84,8 +86,8 @@ def lattices(distinct: list[str], path: str) -> Iterator[Lattice]:
             part = (START if start == 0 else "") + word[start : start + LONGEST_WORD]
             by_length.setdefault(len(part), []).append((i, part))
     for length, parts in by_length.items():
-        for at in range(0, len(parts), 20_000):
-            some = parts[at : at + 20_000]
+        for at in range(0, len(parts), LOT_WORDS):
+            some = parts[at : at + LOT_WORDS]
             letters = np.frombuffer("".join(p for _, p in some).encode("utf-32-le"), np.uint32).reshape(len(some), length)
             letters = np.ascontiguousarray(letters.T).astype(np.uint64) + np.uint64(1)
             arcs = []
@@ -214,22 +216,25 @@ def word_scores(distinct: list[str], model: LanguageModel) -> np.ndarray:
     return out
 
 
-def with_language(docs: DataFrame, model: LanguageModel, text: str, keep: list[Column]) -> DataFrame:
+def with_language(docs: DataFrame, model: LanguageModel, text: str, keep: list[Column], kept_text: str | None = None) -> DataFrame:
     """``keep`` columns of every row with lang_pred and score of its whole text.
 
+    If one of the kept columns is the text, ``kept_text`` names it, so that it travels once.
+
     The score is the posterior of the language under equal priors. A null text, or one without
     letters, is ``und`` with score 0, as is every text if no language was learned. Ties go to the
     first language in order. Rows are independent of each other.
     """
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    judged = kept_text or "__text"
+    rows = docs.select(*keep) if kept_text else docs.select(*keep, F.col(text).alias("__text"))
+    schema = StructType([f for f in rows.schema if kept_text or f.name != "__text"]).add("lang_pred", "string").add("score", "double")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x pieces numbers
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for whole in batches:
-            for batch in slices(whole, "__text", SLICE_BYTES):
-                offsets, flat = letter_words(filled(batch["__text"]))
+            for batch in slices(whole, judged, SLICE_BYTES):
+                offsets, flat = letter_words(filled(batch[judged]))
                 names, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
                 if model.languages and len(flat):
                     codes, distinct = coded(flat)
@@ -239,7 +244,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str, keep: list[C
                     chance = 1.0 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
                     names = [model.languages[b] if s else "und" for b, s in zip(best, some, strict=True)]
                     score = np.where(some, chance, 0.0)
-                fixed = [c for c in batch.schema.names if c != "__text"]
+                fixed = [c for c in batch.schema.names if kept_text or c != "__text"]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch[c] for c in fixed), pa.array(names, pa.string()), pa.array(score)], names=[*fixed, "lang_pred", "score"]
                 )

@@ -16,7 +16,7 @@ from .shared import stored
 from .tokens import encode_texts, splits_at_spaces, word_ids
 
 SHARD_ROWS = 40_000
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 6 << 20
 
 
 def token_pieces(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", size: int = 4096, end_id: int = 1) -> DataFrame:
@@ -44,18 +44,22 @@ def token_pieces(docs: DataFrame, path: str, id: str = "doc_id", text: str = "te
                     lists = encode_texts(path, texts.to_pylist())
                     place = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
                     ids = np.fromiter((i for x in lists for i in x), np.uint32, int(place[-1]))
-                source, piece, start, length, crc = [], [], [], [], []
-                for row in range(batch.num_rows):
-                    own = np.append(ids[place[row] : place[row + 1]], np.uint32(end_id)).astype("<u4")
-                    for k, at in enumerate(range(0, len(own), size)):
-                        part = own[at : at + size]
-                        source.append(row)
-                        piece.append(k)
-                        start.append(at)
-                        length.append(len(part))
-                        crc.append(zlib.crc32(part.tobytes()))
+                rest = np.diff(place) + 1  # with the end id
+                ends = np.cumsum(rest)
+                whole_ids = np.full(int(ends[-1]), end_id, "<u4")
+                own = np.ones(len(whole_ids), bool)
+                own[ends - 1] = False
+                whole_ids[own] = ids
+                pieces = -(-rest // size)
+                row = np.repeat(np.arange(len(rest)), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * size
+                length = np.minimum(rest[row] - start, size)
+                first = (ends - rest)[row] + start
+                view = memoryview(whole_ids).cast("B")
+                crc = [zlib.crc32(view[4 * a : 4 * (a + n)]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch["__id"].take(pa.array(source, pa.int64())), pa.array(piece, pa.int32())] + [pa.array(x, pa.int64()) for x in (start, length, crc)],
+                    [batch["__id"].take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                     names=[id, "piece", "start", "length", "ids_crc32"],
                 )
 

@@ -16,7 +16,7 @@ from .batches import SPACES, coded, filled, row_sums, slices, spread, words
 
 PART_BYTES = 1 << 20  # a longer text is encoded in parts
 ENCODE_BYTES = 1 << 18  # texts given to the tokenizer at once
-KNOWN_WORDS = 250_000  # words whose ids a Python worker remembers
+KNOWN_BYTES = 80 << 20  # of words, whose ids a Python worker remembers, with 150 bytes for each entry
 
 
 @functools.lru_cache(maxsize=4)
@@ -50,11 +50,12 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
     """Lists of about equal bytes, whatever the lengths of the texts."""
     group, size = [], 0
     for text in texts:
-        if group and size + len(text) > ENCODE_BYTES:
+        length = len(text) if text.isascii() else len(text.encode())
+        if group and size + length > ENCODE_BYTES:
             yield group
             group, size = [], 0
         group.append(text)
-        size += len(text)
+        size += length
     if group:
         yield group
 
@@ -97,6 +98,7 @@ def _folds(path: str) -> bool:
 
 
 _KNOWN: dict[str, dict[str, bytes]] = {}  # by file: ids of words that this Python worker has met
+_KNOWN_SIZE: dict[str, int] = {}
 
 
 def _known_ids(path: str, texts: list[str]) -> list[bytes]:
@@ -104,10 +106,13 @@ def _known_ids(path: str, texts: list[str]) -> list[bytes]:
     known = _KNOWN.setdefault(path, {})
     found = list(map(known.get, texts))
     new = [i for i, f in enumerate(found) if f is None]
+    size = _KNOWN_SIZE.get(path, 0)
     for i, ids in zip(new, encode_texts(path, [texts[i] for i in new]), strict=True):
         found[i] = array.array("I", ids).tobytes()
-        if len(known) < KNOWN_WORDS:
+        if size < KNOWN_BYTES:
             known[texts[i]] = found[i]
+            size += 150 + len(texts[i]) + len(found[i])
+    _KNOWN_SIZE[path] = size
     return found
 
 
