@@ -5,6 +5,13 @@ Prefix filter: order all shingles in one way. If two sets overlap enough, then o
 threshold, n the set's size). Each document picks its own ``l`` by an estimate of what its
 candidates will cost; a pair must share the smaller of its two documents' ``l``.
 
+Places prune further. If the k-th shared shingle of a pair stands at places i and j of its sets
+(counted from 0), the overlap is at most ``k + min(n_a - i, n_b - j) - 1``. So the first ``l``
+shared shingles of a pair that links all meet that bound with k = l, and only those are counted.
+In the smaller set of the two they are even *early*: among its first
+``n - ceil(2 t n / (1 + t)) + l``. Two documents that both hold a shingle late never meet in it, so
+a large group whose members have many shingles of their own before the shared ones makes no pairs.
+
 Rare shingles come first. Counting all of them would move more than the texts themselves, so the
 order has three classes, which depend on the shingle alone:
 
@@ -107,6 +114,11 @@ def _needed(percent: int) -> Column:
     return F.floor((F.col("n") * percent + 99) / 100)
 
 
+def _least_overlap(a: Column, b: Column, percent: int) -> Column:
+    """Least overlap with which sets of these sizes link."""
+    return F.floor((percent * (a + b) + 99 + percent) / (100 + percent))
+
+
 def _with_places(entries: Column, first: Column) -> Column:
     """Entries (count, token) with their places in the document's order, from ``first`` on."""
     return F.transform(entries, lambda e, i: F.struct((first + i).cast("long").alias("place"), e["count"].alias("count"), e["token"].alias("token")))
@@ -133,7 +145,7 @@ def _within(size: Column) -> Column:
 
 
 def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(token, id, n, l) of all prefixes, without tokens that only one document has; and the full sets needed.
+    """(token, id, n, l, place, early) of all prefixes, without tokens that only one document has; and the full sets needed.
 
     ``sets`` has (row, n, head) of all documents; ``nodes`` (row, id, n, n_head) of one for each
     distinct set; ``texts`` the rows (id, text) to read full sets from.
@@ -173,7 +185,8 @@ def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     # Written before the entries are spread out, or l would be computed again for each of them.
     chosen = cut(every.select("id", "n", best.alias("l"), "entries"))
     chosen = chosen.select("id", "n", "l", F.explode("entries").alias("entry"))
-    return chosen.where(F.col("entry.place") < base + F.col("l")).select("id", "n", "l", "entry.token"), full
+    early = F.col("entry.place") < F.col("n") - _least_overlap(F.col("n"), F.col("n"), percent) + F.col("l")
+    return chosen.where(F.col("entry.place") < base + F.col("l")).select("id", "n", "l", "entry.token", "entry.place", early.alias("early")), full
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -194,26 +207,31 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
     at most one pair per document, and takes over its label if they are similar. Rounds go on
     while the last step would make many more pairs than there are postings and at least a tenth
     of a round's pairs are similar. That last step verifies every
-    pair of different labels that shares a bucket, has enough shared tokens and fitting sizes. In
-    a bucket, pairs are made between the documents outside its largest label and all others, so a
-    bucket of one label makes none.
+    pair of different labels that shares a bucket, has enough shared tokens at fitting places and
+    fitting sizes. In a bucket, pairs are made between the documents outside its largest label and
+    all others, unless both hold the token late; so a bucket of one label makes none, nor does one
+    without an early document.
     """
-    sizes = postings.groupBy("token").agg(F.count("*").alias("c")).where("c >= 2").select("token")
+    early = F.count(F.when(F.col("early"), 1))
+    sizes = postings.groupBy("token").agg(F.count("*").alias("c"), early.alias("e")).where("c >= 2 AND e >= 1").select("token")
     rows = cut(postings.join(sizes, "token").withColumn("label", F.col("id")))
     total = rows.count()
     links, fruitful = None, True
     for turn in range(MOST_ROUNDS):
-        parts = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
+        parts = rows.groupBy("token", "label").agg(F.count("*").alias("c"), early.alias("e"))
         main = parts.groupBy("token").agg(
-            F.max_by("label", F.struct("c", F.xxhash64("label", F.lit(turn)))).alias("main"), F.max("c").alias("most"), F.sum("c").alias("all")
+            F.max_by(F.struct("label", "c", "e"), F.struct("c", F.xxhash64("label", F.lit(turn)))).alias("main"), F.sum("c").alias("all"), F.sum("e").alias("all_early")
         )
-        main = cut(main.where("most < all"))
-        if turn >= LEAST_ROUNDS and (not fruitful or (main.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0] or 0) <= 2 * total):
+        main = main.select("token", "main.label", "all", "all_early", (F.col("all") - F.col("main.c")).alias("others"), (F.col("all_early") - F.col("main.e")).alias("others_early"))
+        main = cut(main.withColumnRenamed("label", "main").where("others > 0"))
+        if turn >= LEAST_ROUNDS and (not fruitful or (main.agg(F.sum(F.expr("others_early * all + (others - others_early) * all_early"))).first()[0] or 0) <= 2 * total):
             break
         mixed = rows.join(main.select("token", "main"), "token")
-        inside = mixed.where("label = main").groupBy("token").agg(F.min_by(F.struct("id", "label", "n"), F.xxhash64("id", F.lit(turn))).alias("p"))
-        near = mixed.where("label <> main").join(inside, "token").where(_sizes_fit(F.col("n"), F.col("p.n"), percent))
-        votes = near.groupBy("id", "label", "p").agg(F.count("*").alias("shared"))
+        member = F.struct("id", "label", "n", "l", "place", "early")
+        # a late member fits no other late document, so an early one is tried first
+        inside = mixed.where("label = main").groupBy("token").agg(F.min_by(member, F.struct(~F.col("early"), F.xxhash64("id", F.lit(turn)))).alias("p"))
+        near = mixed.where("label <> main").join(inside, "token").where(_may_link(F.col, lambda c: F.col(f"p.{c}"), percent))
+        votes = near.groupBy("id", "label", F.struct("p.id", "p.label").alias("p")).agg(F.count("*").alias("shared"))
         best = votes.groupBy("id", "label").agg(F.max_by("p", F.struct("shared", F.xxhash64("p.id"))).alias("p"))
         best = cut(best.select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("label").alias("from"), F.col("p.label").alias("to")))
         found = cut(verified(best, full, percent).join(best, ["a", "b"]))
@@ -225,15 +243,23 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
         onto = onto.join(onward, "to", "left").select(F.col("from").alias("label"), F.coalesce("next", "to").alias("to"))
         rows = cut(rows.join(onto, "label", "left").withColumn("label", F.coalesce("to", "label")).select(*rows.columns))
     both = rows.join(main.select("token", "main"), "token")
-    minor = both.where("label <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "l", "label")])
-    every = both.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "l", "label")])
-    pairs = minor.join(every, "token").where("label_a <> label_b AND (label_b = main OR id_a < id_b)")
-    pairs = pairs.where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent))
+    columns = ("id", "n", "l", "place", "early", "label")
+    minor = both.where("label <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
+    every = both.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in columns])
+    apart = F.expr("label_a <> label_b AND (label_b = main OR id_a < id_b)") & _may_link(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"), percent)
+    # early with all and late with early: late documents of a token are never compared with each other
+    pairs = minor.where("early_a").join(every, "token").where(apart).unionByName(minor.where("NOT early_a").join(every.where("early_b"), "token").where(apart))
     enough = F.count("*") >= F.min(F.least("l_a", "l_b"))
     pairs = pairs.groupBy(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).agg(enough.alias("enough")).where("enough")
     return links.union(cut(verified(pairs, full, percent)))
 
 
+def _may_link(a, b, percent: int) -> Column:
+    """Whether two documents that share a token may link, with it among the first l shared ones."""
+    overlap = F.least(a("l"), b("l")) + F.least(a("n") - a("place"), b("n") - b("place")) - 1
+    return _sizes_fit(a("n"), b("n"), percent) & (overlap >= _least_overlap(a("n"), b("n"), percent))
+
+
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
