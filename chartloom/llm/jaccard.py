@@ -40,7 +40,7 @@ from .shared import cut, sent_if_small, stored
 
 SHARE = 0.25
 HOT = 32
-LONGEST = 4  # the largest l
+SIZES = (1, 2, 4, 8)  # what l is chosen from
 LEAST_ROUNDS, MOST_ROUNDS = 1, 12  # of verification against single documents; more save pairs, none change results
 SLICE_BYTES = 8 << 20
 BOUND = int(SHARE * 2**64) - 2**63  # hashes are stored as signed numbers, in the same order
@@ -132,12 +132,11 @@ def _chosen_prefix(percent: int) -> tuple[Column, Column]:
     """
     base = F.col("n") - _needed(percent)
     costs = []
-    for size in range(1, LONGEST + 1):
+    for size in SIZES:
         partners = F.aggregate(_within(base + size), F.lit(0).cast("long"), lambda s, e: s + e["count"] - 1)
-        cost = partners * (1 + F.col("n") / 32.0 / size)
-        costs.append(F.when(F.lit(size) <= _needed(percent), cost).otherwise(float("inf")))
-    best = F.array_position(F.array(*costs), F.array_min(F.array(*costs)))
-    return best, base
+        cost = F.struct((partners * (1 + F.col("n") / 32.0 / size)).alias("cost"), F.lit(size).cast("long").alias("l"))
+        costs.append(F.when(F.lit(size) <= _needed(percent), cost))
+    return F.array_min(F.filter(F.array(*costs), lambda c: c.isNotNull()))["l"], base
 
 
 def _within(size: Column) -> Column:
@@ -162,7 +161,7 @@ def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     # Sizes are columns of the aggregate, since an array named inside a lambda is built for each element.
     none = F.array().cast("array<struct<count:bigint,token:bigint>>")
     known = known.withColumns({c: F.coalesce(F.col(c), none) for c in ("rare", "hot")} | {c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_rare", "n_hot")})
-    longest = F.col("n") - _needed(percent) + LONGEST
+    longest = F.col("n") - _needed(percent) + max(SIZES)
     known = known.withColumn("enough", F.col("n_head") - F.col("n_hot") >= F.least(longest, F.col("n")))
     # shingles of one document come first in class 0, and need no entry
     first = F.col("n_head") - F.col("n_hot") - F.col("n_rare")
@@ -180,13 +179,14 @@ def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     mid = _with_places(F.sort_array("more"), F.col("n") - F.col("n_hot") - F.col("n_more"))
     high = _with_places(F.sort_array("hot"), F.col("n") - F.col("n_hot"))
     wide = wide.select("id", "n", F.concat("rare", mid, high).alias("entries"))
-    every = cut(known.where("enough").select("id", "n", F.col("rare").alias("entries")).unionByName(wide))
+    every = known.where("enough").select("id", "n", F.col("rare").alias("entries")).unionByName(wide)
     best, base = _chosen_prefix(percent)
     # Written before the entries are spread out, or l would be computed again for each of them.
-    chosen = cut(every.select("id", "n", best.alias("l"), "entries"))
+    chosen = every.select("id", "n", best.alias("l"), "entries")
+    chosen = cut(chosen.select("id", "n", "l", _within(base + F.col("l")).alias("entries")))
     chosen = chosen.select("id", "n", "l", F.explode("entries").alias("entry"))
     early = F.col("entry.place") < F.col("n") - _least_overlap(F.col("n"), F.col("n"), percent) + F.col("l")
-    return chosen.where(F.col("entry.place") < base + F.col("l")).select("id", "n", "l", "entry.token", "entry.place", early.alias("early")), full
+    return chosen.select("id", "n", "l", "entry.token", "entry.place", early.alias("early")), full
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -241,7 +241,8 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
         onto = found.groupBy("from").agg(F.min("to").alias("to"))
         onward = onto.select(F.col("from").alias("to"), F.col("to").alias("next"))
         onto = onto.join(onward, "to", "left").select(F.col("from").alias("label"), F.coalesce("next", "to").alias("to"))
-        rows = cut(rows.join(onto, "label", "left").withColumn("label", F.coalesce("to", "label")).select(*rows.columns))
+        # labels only merge, so a bucket of one label is done with
+        rows = cut(mixed.join(onto, "label", "left").withColumn("label", F.coalesce("to", "label")).select(*rows.columns))
     both = rows.join(main.select("token", "main"), "token")
     columns = ("id", "n", "l", "place", "early", "label")
     minor = both.where("label <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
