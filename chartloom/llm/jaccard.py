@@ -12,6 +12,11 @@ In the smaller set of the two they are even *early*: among its first
 ``n - ceil(2 t n / (1 + t)) + l``. Two documents that both hold a shingle late never meet in it, so
 a large group whose members have many shingles of their own before the shared ones makes no pairs.
 
+Every set has a sketch of ``SKETCH`` bits, each the parity of its shingles with that remainder. Bits
+in which two sketches differ stand for different shingles that only one set has, so sets link only
+if there are at most n_a + n_b - 2 (least overlap) of them. Pairs are dropped by that inside the
+join too; it is a bound, so no link is lost.
+
 Rare shingles come first. Counting all of them would move more than the texts themselves, so the
 order has three classes, which depend on the shingle alone:
 
@@ -42,6 +47,7 @@ SHARE = 0.25
 HOT = 32
 SIZES = (1, 2, 4, 8)  # what l is chosen from
 LEAST_ROUNDS, MOST_ROUNDS = 1, 12  # of verification against single documents; more save pairs, none change results
+SKETCH = 256
 SLICE_BYTES = 8 << 20
 BOUND = int(SHARE * 2**64) - 2**63  # hashes are stored as signed numbers, in the same order
 
@@ -79,8 +85,20 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
 
+def _rows(matrix: np.ndarray) -> pa.Array:
+    return _lists(matrix.reshape(-1), np.arange(len(matrix) + 1) * matrix.shape[1])
+
+
+def sketches(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The parity sketch of each set, as rows of 64-bit numbers."""
+    n = len(offsets) - 1
+    place = np.repeat(np.arange(n) * SKETCH, np.diff(offsets)) + (values & (SKETCH - 1))
+    odd = (np.bincount(place, minlength=n * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, SKETCH), axis=1).view(np.int64)
+
+
 def set_summaries(docs: DataFrame, width: int) -> DataFrame:
-    """id, n (set size), digest of the set, head (its shingles of the counted share) of rows (id, text)."""
+    """id, n (set size), digest and sketch of the set, head (its shingles of the counted share) of rows (id, text)."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -90,11 +108,11 @@ def set_summaries(docs: DataFrame, width: int) -> DataFrame:
                 low = values < BOUND
                 kept = np.concatenate([[0], np.cumsum(low)])[offsets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch["id"], pa.array(np.diff(offsets)), pa.array(digests, pa.binary()), _lists(values[low], kept)],
-                    names=["id", "n", "digest", "head"],
+                    [batch["id"], pa.array(np.diff(offsets)), pa.array(digests, pa.binary()), _rows(sketches(values, offsets)), _lists(values[low], kept)],
+                    names=["id", "n", "digest", "sketch", "head"],
                 )
 
-    return docs.mapInArrow(summarise, f"id {docs.schema['id'].dataType.simpleString()}, n long, digest binary, head array<long>")
+    return docs.mapInArrow(summarise, f"id {docs.schema['id'].dataType.simpleString()}, n long, digest binary, sketch array<long>, head array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -144,9 +162,9 @@ def _within(size: Column) -> Column:
 
 
 def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(token, id, n, l, place, early) of all prefixes, without tokens that only one document has; and the full sets needed.
+    """(token, id, n, l, place, early, sketch) of all prefixes, without tokens that only one document has; and the full sets needed.
 
-    ``sets`` has (row, n, head) of all documents; ``nodes`` (row, id, n, n_head) of one for each
+    ``sets`` has (row, n, head) of all documents; ``nodes`` (row, id, n, n_head, sketch) of one for each
     distinct set; ``texts`` the rows (id, text) to read full sets from.
     """
     rare = F.col("count") < HOT
@@ -171,22 +189,22 @@ def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     ids = sent_if_small(known.select("id"))
     full = stored(full_sets(texts.join(ids, "id", "left_semi"), width))
 
-    wide = known.where(~F.col("enough")).select("id", "n", "n_hot", "rare", "hot")
+    wide = known.where(~F.col("enough")).select("id", "n", "sketch", "n_hot", "rare", "hot")
     others = full.join(wide.select("id"), "id", "left_semi").select("id", F.explode(F.filter("shingles", lambda s: s >= BOUND)).alias("token"))
     other_counts = others.groupBy("token").agg(F.count("*").alias("count")).where("count >= 2")
     more = others.join(other_counts, "token").groupBy("id").agg(F.collect_list(entry).alias("more"), F.count("*").alias("n_more"))
     wide = wide.join(more, "id", "left").withColumns({"more": F.coalesce("more", none), "n_more": F.coalesce("n_more", F.lit(0))})
     mid = _with_places(F.sort_array("more"), F.col("n") - F.col("n_hot") - F.col("n_more"))
     high = _with_places(F.sort_array("hot"), F.col("n") - F.col("n_hot"))
-    wide = wide.select("id", "n", F.concat("rare", mid, high).alias("entries"))
-    every = known.where("enough").select("id", "n", F.col("rare").alias("entries")).unionByName(wide)
+    wide = wide.select("id", "n", "sketch", F.concat("rare", mid, high).alias("entries"))
+    every = known.where("enough").select("id", "n", "sketch", F.col("rare").alias("entries")).unionByName(wide)
     best, base = _chosen_prefix(percent)
     # Written before the entries are spread out, or l would be computed again for each of them.
-    chosen = every.select("id", "n", best.alias("l"), "entries")
-    chosen = cut(chosen.select("id", "n", "l", _within(base + F.col("l")).alias("entries")))
-    chosen = chosen.select("id", "n", "l", F.explode("entries").alias("entry"))
+    chosen = every.select("id", "n", "sketch", best.alias("l"), "entries")
+    chosen = cut(chosen.select("id", "n", "sketch", "l", _within(base + F.col("l")).alias("entries")))
+    chosen = chosen.select("id", "n", "sketch", "l", F.explode("entries").alias("entry"))
     early = F.col("entry.place") < F.col("n") - _least_overlap(F.col("n"), F.col("n"), percent) + F.col("l")
-    return chosen.select("id", "n", "l", "entry.token", "entry.place", early.alias("early")), full
+    return chosen.select("id", "n", "l", "entry.token", "entry.place", early.alias("early"), "sketch"), full
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -227,7 +245,7 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
         if turn >= LEAST_ROUNDS and (not fruitful or (main.agg(F.sum(F.expr("others_early * all + (others - others_early) * all_early"))).first()[0] or 0) <= 2 * total):
             break
         mixed = rows.join(main.select("token", "main"), "token")
-        member = F.struct("id", "label", "n", "l", "place", "early")
+        member = F.struct("id", "label", "n", "l", "place", "early", "sketch")
         # a late member fits no other late document, so an early one is tried first
         inside = mixed.where("label = main").groupBy("token").agg(F.min_by(member, F.struct(~F.col("early"), F.xxhash64("id", F.lit(turn)))).alias("p"))
         near = mixed.where("label <> main").join(inside, "token").where(_may_link(F.col, lambda c: F.col(f"p.{c}"), percent))
@@ -244,7 +262,7 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
         # labels only merge, so a bucket of one label is done with
         rows = cut(mixed.join(onto, "label", "left").withColumn("label", F.coalesce("to", "label")).select(*rows.columns))
     both = rows.join(main.select("token", "main"), "token")
-    columns = ("id", "n", "l", "place", "early", "label")
+    columns = ("id", "n", "l", "place", "early", "label", "sketch")
     minor = both.where("label <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
     every = both.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in columns])
     apart = F.expr("label_a <> label_b AND (label_b = main OR id_a < id_b)") & _may_link(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"), percent)
@@ -258,7 +276,9 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
 def _may_link(a, b, percent: int) -> Column:
     """Whether two documents that share a token may link, with it among the first l shared ones."""
     overlap = F.least(a("l"), b("l")) + F.least(a("n") - a("place"), b("n") - b("place")) - 1
-    return _sizes_fit(a("n"), b("n"), percent) & (overlap >= _least_overlap(a("n"), b("n"), percent))
+    least = _least_overlap(a("n"), b("n"), percent)
+    differ = sum((F.bit_count(F.get(a("sketch"), k).bitwiseXOR(F.get(b("sketch"), k))) for k in range(SKETCH // 64)), F.lit(0))
+    return _sizes_fit(a("n"), b("n"), percent) & (overlap >= least) & (differ <= a("n") + b("n") - 2 * least)
 
 
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -282,10 +302,10 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     sets = stored(set_summaries(rows, width).withColumn("row", F.monotonically_increasing_id()))
-    slim = sets.select("row", "id", "n", "digest", F.size("head").alias("n_head"))
+    slim = sets.select("row", "id", "n", "digest", "sketch", F.size("head").alias("n_head"))
     able = slim.where("n > 0 AND id IS NOT NULL")
-    classes = cut(able.groupBy("digest").agg(F.min(F.struct("id", "row", "n", "n_head")).alias("first")).select("digest", "first.*").withColumnRenamed("id", "class_id"))
-    nodes = classes.groupBy("class_id").agg(F.min_by(F.struct("row", "n", "n_head"), "row").alias("first")).select(F.col("class_id").alias("id"), "first.*")
+    classes = cut(able.groupBy("digest").agg(F.min(F.struct("id", "row", "n", "n_head", "sketch")).alias("first")).select("digest", "first.*").withColumnRenamed("id", "class_id"))
+    nodes = classes.groupBy("class_id").agg(F.min_by(F.struct("row", "n", "n_head", "sketch"), "row").alias("first")).select(F.col("class_id").alias("id"), "first.*")
     postings, full = prefixes(sets, nodes, rows, width, percent)
     links = similar_links(postings, full, percent)
     groups = components(links).select(F.col("id").alias("class_id"), "component")

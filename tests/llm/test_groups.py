@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.components import components
 from chartloom.llm.exact import exact_duplicates
-from chartloom.llm.jaccard import near_duplicate_groups
+from chartloom.llm.jaccard import near_duplicate_groups, sketches
 from chartloom.llm.vectors import bucket_codes, hadamard, near_duplicate_vectors, plan_for
 
 
@@ -76,6 +76,37 @@ def test_near_duplicates_equal_brute_force(docs, width, percent, seed):
     assert got == near_brute(rows, width, percent)
 
 
+def test_near_duplicates_of_large_groups_near_the_threshold(docs):
+    """Copies with more and fewer changes, words added and left out: many share a prefix, few link."""
+    rnd = random.Random(9)
+    rows = []
+    for group in range(3):
+        base = [f"g{group}w{i}" for i in range(150)]
+        for i in range(90):
+            own = list(base)
+            for k in range(rnd.randrange(1, 7)):
+                own[rnd.randrange(len(own))] = f"u{group}x{i}x{k}" if rnd.random() < 0.7 else f"g{group}c{rnd.randrange(9)}"
+            if i % 3 == 0:
+                own = own[: rnd.randrange(120, 150)] + [f"t{i}y{j}" for j in range(rnd.randrange(0, 12))]
+            rows.append((group * 100 + i, " ".join(own)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicate_groups(docs(rows), width=4, percent=85).collect()}
+    assert got == near_brute(rows, 4, 85)
+    assert 3 < len({c for _, c in got.values()}) < len(rows)
+
+
+def test_sketches_bound_the_difference():
+    rnd = np.random.default_rng(3)
+    sets = [np.unique(rnd.integers(-(2**63), 2**63 - 1, size=n)) for n in (0, 1, 5, 300, 5000)]
+    sets += [np.unique(np.concatenate([sets[3][20:], sets[2]]))]
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    rows = sketches(np.concatenate(sets), ends)
+    assert rows.shape == (len(sets), 4) and sketches(np.zeros(0, np.int64), np.zeros(1, np.int64)).shape == (0, 4)
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            bits = sum(int(v).bit_count() for v in (rows[a] ^ rows[b]).view(np.uint64))
+            assert bits <= len(np.setxor1d(x, y)) and (a != b or bits == 0)
+
+
 def test_near_duplicates_of_odd_tables(docs):
     assert near_duplicate_groups(docs([])).collect() == []
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, None), (3, "long " * 20_000)]
