@@ -5,6 +5,8 @@ Everything is built-in column functions. Spans count code points, the end is exc
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .shared import cut, stored
@@ -29,6 +31,9 @@ LOOSE = {
     "phone": r"(?<![0-9+(-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9-])",
 }
 CONTEXT = 64  # code points before a span in which its left words are sought
+SPAN = "struct<kind:string,start:int,end:int,value:string,left:string>"
+BLOCK = 64  # items that are walked at once
+PART = 4096  # code points of the parts that a text is cut into before pieces of it are taken
 
 
 def _may_hold(kind: str, text: Column) -> Column:
@@ -44,22 +49,73 @@ def _may_hold_loose(kind: str, text: Column) -> Column:
     return text.contains(":") if kind == "ip" else text.rlike("[0-9]")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once; named inside a lambda it would be computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _walk(items: Column, carry: Column, step: Callable[[Column, Column], tuple[Column, Column]], out: str) -> Column:
+    """Array of what ``step(carry, item)`` puts out for each item in turn, next to the new carry.
+
+    Spark copies the state of an aggregate at every step, so the state must stay small, however many
+    items there are: one pass finds the carry at the start of each block, another the rows of each block.
+    """
+    none = F.array().cast(f"array<{out}>")
+
+    def in_blocks(items: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(items) - 1, F.lit(BLOCK))
+
+        def block(at: Column) -> Column:
+            return F.slice(items, at + 1, F.lit(BLOCK))
+
+        def onward(carries: Column, at: Column) -> Column:
+            last = F.aggregate(block(at), F.element_at(carries, -1), lambda c, item: step(c, item)[0])
+            return F.concat(carries, F.array(last))
+
+        def gathered(state: Column, item: Column) -> Column:
+            after, made = step(state["carry"], item)
+            return F.struct(after.alias("carry"), F.concat(state["rows"], F.array(made)).alias("rows"))
+
+        def rows(carries: Column) -> Column:
+            def of_block(at: Column, i: Column) -> Column:
+                first = F.struct(F.get(carries, i).alias("carry"), none.alias("rows"))
+                return F.aggregate(block(at), first, gathered, lambda s: s["rows"])
+
+            return F.flatten(F.transform(starts, of_block))
+
+        found = _once(F.aggregate(starts, F.array(carry), onward), rows)
+        return F.when(F.size(items) > 0, found).otherwise(none)
+
+    return _once(items, in_blocks)
+
+
+def _last(text: Column) -> Column:
+    return F.substring(text, -CONTEXT, CONTEXT)
+
+
 def _spans(text: Column, kind: str, pattern: str, may: Column) -> Column:
-    """Array of (kind, start, end, value) of the pattern's matches, from the pieces between them."""
-    kinds = "array<struct<kind:string,start:int,end:int,value:string>>"
-    found = F.when(may, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    gaps = F.split(text, pattern, -1)
+    """Array of (kind, start, end, value, left) of the pattern's matches, from the pieces between them.
+
+    left is the text before the match, up to ``CONTEXT`` code points.
+    """
+
+    def walked(found: Column, gaps: Column) -> Column:
+        def step(carry: Column, i: Column) -> tuple[Column, Column]:
+            gap, value = F.get(gaps, i), F.get(found, i)
+            left = _last(F.concat(carry["left"], _last(gap)))
+            start = carry["at"] + F.length(gap)
+            end = start + F.length(value)
+            one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), value.alias("value"), left.alias("left"))
+            return F.struct(end.alias("at"), _last(F.concat(left, value)).alias("left")), one
 
-    def step(state: Column, i: Column) -> Column:
-        value = F.get(found, i)
-        start = state["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(value)
-        one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), value.alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("left"))
+        return _walk(F.sequence(F.lit(0), F.size(found) - 1), start, step, SPAN)
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kinds).alias("out"))
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), first, step, lambda s: s["out"])
-    return F.when(F.size(found) > 0, walked).otherwise(F.array().cast(kinds))
+    def placed(found: Column) -> Column:
+        spans = _once(F.split(text, pattern, -1), lambda gaps: walked(found, gaps))
+        return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    return _once(F.when(may, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), placed)
 
 
 def _digits(value: Column) -> Column:
@@ -108,12 +164,36 @@ def loose_spans(text: Column) -> Column:
     return F.concat(*[_spans(text, k, LOOSE[k], _may_hold_loose(k, text)) for k in KINDS])
 
 
-def _with_cues(text: Column, spans: Column) -> Column:
+def _apart(loose: Column, base: Column) -> Column:
+    """The loose spans that overlap no base span, by one walk in each direction over all in order of their starts."""
+
+    def marked(spans: Column, is_loose: bool) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(is_loose).alias("loose"), s["end"].alias("end"), s.alias("span")))
+
+    row = f"struct<start:int,loose:boolean,end:int,span:{SPAN},hit:boolean>"
+
+    def walked(rows: Column, first: int, onward, meets) -> Column:
+        def step(carry: Column, s: Column) -> tuple[Column, Column]:
+            hit = s["hit"] | (s["loose"] & meets(carry, s))
+            new = F.struct(*[s[c].alias(c) for c in ("start", "loose", "end", "span")], hit.alias("hit"))
+            return F.when(s["loose"], carry).otherwise(onward(carry, s)), new
+
+        return _walk(rows, F.lit(first), step, row)
+
+    both = F.sort_array(F.concat(marked(loose, True), marked(base, False)))
+    both = F.transform(both, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "loose", "end", "span")], F.lit(False).alias("hit")))
+    # base spans that start no later, by the furthest end; then those that start later, by the nearest start
+    ahead = walked(both, 0, lambda c, s: F.greatest(c, s["end"]), lambda c, s: s["start"] < c)
+    back = walked(F.reverse(ahead), 2**31 - 1, lambda c, s: s["start"], lambda c, s: c < s["end"])
+    free = F.transform(F.filter(back, lambda s: s["loose"] & ~s["hit"]), lambda s: s["span"])
+    return F.when((F.size(loose) > 0) & (F.size(base) > 0), free).otherwise(loose)
+
+
+def _with_cues(spans: Column) -> Column:
     """Spans with their cues: the word, and the two words, to the left, in lower case."""
 
     def one(s: Column) -> Column:
-        begin = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        left = F.lower(text.substr(begin + 1, s["start"] - begin))
+        left = F.lower(s["left"])
         cues = [F.regexp_extract(left, rf"({words})[\s\"'(]*$", 1) for words in (r"\S+\s+\S+", r"(?<!\S)\S+")]
         return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.array_remove(F.array(*cues), "").alias("cues"))
 
@@ -169,8 +249,7 @@ def personal_data(
     body = F.coalesce(F.col("__text"), F.lit(""))
     rows = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"), F.struct(*[F.col(k) for k in keep] or [F.lit(None).cast("string").alias("none")]).alias("__kept"))
     rows = rows.withColumns({"base": base_spans(body), "loose": loose_spans(body)})
-    apart = F.filter("loose", lambda a: ~F.exists("base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])))
-    rows = rows.withColumns({"base": _with_cues(body, F.col("base")), "loose": _with_cues(body, apart)})
+    rows = rows.withColumns({"base": _with_cues(F.col("base")), "loose": _with_cues(_apart(F.col("loose"), F.col("base")))})
     rows = stored(rows.drop("__text").withColumn("__row", F.monotonically_increasing_id()))
     both = [rows.select(F.explode(c).alias("s")).select(F.explode("s.cues").alias("cue"), "s.kind", "s.value", F.lit(seed).alias("seed")) for c, seed in (("base", 1), ("loose", 0))]
     learned = learned_instances(both[0].unionByName(both[1]), rounds, least_seeds, least_score)
@@ -184,13 +263,24 @@ def personal_data(
 
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with each span replaced by its kind in brackets; of overlapping spans only the first gets a name."""
-    ordered = F.array_sort(spans, _by_start)
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, s: Column) -> Column:
-        new = s["start"] >= state["at"]
-        tail = F.concat(state["out"], text.substr(state["at"] + 1, s["start"] - state["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(new, tail).otherwise(state["out"]).alias("out"))
+    def rewritten(parts: Column, spans: Column) -> Column:
+        def piece(a: Column, b: Column) -> Column:
+            """The text from a to b, out of the parts that hold it."""
+            first = F.floor(a / PART).cast("int")
+            held = F.slice(parts, first + 1, F.floor((b - 1) / PART).cast("int") - first + 1)
+            return F.when(a < b, F.array_join(held, "").substr(a % PART + 1, b - a)).otherwise("")
+
+        def step(at: Column, s: Column) -> tuple[Column, Column]:
+            new = F.concat(piece(at, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.greatest(at, s["end"]), F.when(s["start"] >= at, new).otherwise("")
+
+        walked = _walk(F.array_sort(spans, _by_start), F.lit(0), step, "string")
+        end = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(walked, ""), piece(end, F.length(text)))
+
+    def named(spans: Column) -> Column:
+        parts = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PART}}}+"), F.lit(0))
+        return F.when(F.size(spans) > 0, _once(parts, lambda p: rewritten(p, spans))).otherwise(text)
 
-    walked = F.aggregate(ordered, first, step)
-    return F.when(F.size(spans) > 0, F.concat(walked["out"], text.substr(walked["at"] + 1, F.length(text)))).otherwise(text)
+    return _once(spans, named)

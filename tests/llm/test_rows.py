@@ -264,6 +264,27 @@ def test_redaction(docs):
     assert got == {1: "mail é [EMAIL], ip [IP]", 2: "nothing", 3: None, 4: "[PHONE]"}
 
 
+def test_very_many_identifiers_in_one_text(docs):
+    """Base spans, overlaps and redaction of a long text, against a walk in Python."""
+    bits = ["é😀", "522 555 1234", "a{}@b.co", "1.2.3.4", "+1 (522) 555-2314", "4111 1111 1111 1111", "word{}"]
+    rnd = random.Random(9)
+    text = " ".join(rnd.choice(bits).format(i) for i in range(30_000))
+    row = docs([(1, text), (2, "word " * 60_000)]).select("doc_id", "text")
+    got = {r.doc_id: r for r in pii.personal_data(row).collect()}
+    base = pii_brute(text)
+    assert spans_of(got[1].base) == base and spans_of(got[2].spans) == []
+    added = set(spans_of(got[1].spans)) - set(base)
+    covered = {i for _, a, b in base for i in range(a, b)}
+    assert not any(i in covered for _, a, b in added for i in range(a, b))
+    out, at = "", 0
+    for kind, a, b in sorted(base, key=lambda s: s[1]):
+        if a >= at:
+            out += text[at:a] + f"[{kind.upper()}]"
+        at = max(at, b)
+    new = row.select("doc_id", pii.redacted(F.col("text"), pii.base_spans(F.col("text"))).alias("t"))
+    assert {r.doc_id: r.t for r in new.collect()} == {1: out + text[at:], 2: "word " * 60_000}
+
+
 def test_native_operators_run_no_python(docs, frame):
     from chartloom.llm.exact import exact_duplicates
 
