@@ -48,7 +48,7 @@ HOT = 32
 SIZES = (1, 2, 4, 8)  # what l is chosen from
 LEAST_ROUNDS, MOST_ROUNDS = 1, 12  # of verification against single documents; more save pairs, none change results
 SKETCH = 256
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20  # of text hashed at once; its words and shingles take many times that
 BOUND = int(SHARE * 2**64) - 2**63  # hashes are stored as signed numbers, in the same order
 
 
