@@ -22,11 +22,12 @@ def extend_crosswalk(known: DataFrame | None, ids: DataFrame, order: Callable[[C
 
     New ids are numbered in random order, unless ``order`` gives another, so that a number says
     nothing of its id; no secret is needed, and whoever lacks the crosswalk cannot undo it. The
-    numbering is one distributed sort of the new ids.
+    numbering is one distributed sort of the new ids. A drawn order is stored, as drawing again would
+    change it; a given one is computed from the stored ids, and neither is kept with the numbers.
     """
     new = ids if known is None else ids.join(known.select("kind", "id"), ["kind", "id"], "left_anti")
-    drawn = stored(new.withColumn("_order", F.rand() if order is None else order(F.col("id"))))
-    numbered = ranked(drawn, ["kind"], "_order", name="number", kind="long").drop("_order")
+    drawn = stored(new.withColumn("_order", F.rand())) if order is None else stored(new).withColumn("_order", order(F.col("id")))
+    numbered = ranked(drawn, ["kind"], "_order", name="number", kind="long", without=["_order"])
     if known is None:
         return numbered
     last = known.groupBy("kind").agg(F.max("number").alias("_last"))  # a row per kind

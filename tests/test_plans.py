@@ -175,6 +175,27 @@ def test_case_model_fans_out_unless_deduped(spark):
     assert not {"patient_identifier", "primary_surgeons", "procedure_display_names"} & set(hidden.columns)
 
 
+def test_hidden_cases_and_their_numbers_need_no_staff_rollups(spark, monkeypatch):
+    """Ids come from the known cases; a model that is stored is still read instead."""
+    names = [c.strip().split()[0] for c in broker.CONTRACTS["source_ehr.surgical_cases"].split(",")]
+    case = {"patient_id": "p", "surgical_case_id": "k", "surgical_log_id": "l", "surgical_encounter_id": "s"}
+    tables = {
+        "source_ehr.surgical_cases": ([tuple({**dict.fromkeys(names), **case}[n] for n in names)] * 2, broker.CONTRACTS["source_ehr.surgical_cases"]),
+        "research_build.patient_crosswalk": ([("p", "R", "M")], "patient_id string, research_patient_number string, medical_record_number string"),
+        "research_build.encounter_crosswalk": ([("s", "m", "se")], broker.CONTRACTS["research_build.encounter_crosswalk"]),
+        "research_build.deidentified_crosswalk": ([("R", "D", 3)], broker.CONTRACTS["research_build.deidentified_crosswalk"]),
+    }
+    numbers, hidden = broker.SURROGATES, "research_access.deidentified_surgical_cases"
+    before = catalog(spark, broker, tables)[broker.CASES]
+    monkeypatch.setitem(broker.STAGES, broker.CASES, None)  # it must not be built
+    monkeypatch.setitem(broker.STAGES, "temp_surgeon_rollup", None)
+    cat = catalog(spark, broker, tables)
+    assert {(r.kind, r.id, r.number) for r in cat[numbers].collect()} == {(k, v, 1) for k, v in zip(broker.TOKENS, ("k", "l", "se"))}
+    assert [(r.deidentified_number, r.case_token) for r in cat[hidden].collect()] == [("D", 1)]
+    published = {**tables, broker.CASES: ([r.asDict() | {"surgical_case_id": "other"} for r in before.collect()], before.schema)}
+    assert {r.id for r in catalog(spark, broker, published)[numbers].collect()} == {"other", "l", "se"}
+
+
 def test_referral_cancel_rule_and_sentinel(spark):
     """An order without status is dropped; a sentinel hides the other source's date."""
     tables = {
