@@ -65,6 +65,15 @@ def test_window_join_plan_is_an_equi_join(rows):
         within_window(anchors, anchors, "k", "d", "d", "1 DAY")
 
 
+def test_window_join_holds_no_whole_side(rows):
+    """Anchors repeat for every cell they visit, which no estimate tells."""
+    anchors = rows([("a", "2020-01-01")], "k string, d string").withColumn("d", F.col("d").cast("date"))
+    records = rows([("a", "2020-01-01", 1)], "k string, e string, n int").withColumn("e", F.col("e").cast("date"))
+    found = within_window(anchors, records, "k", "d", "e", "1 DAY", "1 DAY")
+    assert "SortMergeJoin" in plan_of(found) and "Broadcast" not in plan_of(found)
+    assert found.count() == 1
+
+
 @pytest.mark.parametrize("newest_first", [False, True])
 @pytest.mark.parametrize("kind", ["date", "string", "timestamp_ntz", "decimal(9,2)"])
 def test_ranks_equal_a_plain_numbering(rows, newest_first, kind):
