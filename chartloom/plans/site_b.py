@@ -598,12 +598,15 @@ def support(cat: Catalog) -> DataFrame:
         nothing = F.lit(None).cast("timestamp_ntz")
         return rows.select("pat_id", *[(F.when(when[n], moment) if n in when else nothing).alias(n) for n in SUPPORT.values()])
 
+    def published(name: str, rows) -> DataFrame:
+        return cat[name] if cat.is_stored(name) else rows(cat)
+
     always = F.lit(True)
     rows = [
         dated(referrals, "entry_date", referred),
         dated(orders, "ordering_date", procedures),
-        dated(cancer_childlife_startdate(cat), "child_life_contact_date", {"child_life_referral_date": always}),
-        dated(cancer_fertility_combine(cat), "fertility_referral_date", {"fertility_referral_date": always}),
+        dated(published("analytics_b.cancer_childlife_startdate", cancer_childlife_startdate), "child_life_contact_date", {"child_life_referral_date": always}),
+        dated(published("analytics_b.cancer_fertility_combine", cancer_fertility_combine), "fertility_referral_date", {"fertility_referral_date": always}),
     ]
     return reduce(DataFrame.union, rows).groupBy("pat_id").agg(*[F.min(n).alias(n) for n in SUPPORT.values()])
 
