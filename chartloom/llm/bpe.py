@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from .batches import coded, filled, slices, words
 
 STOP = np.iinfo(np.int64).max
+KNOWN_BYTES = 64 << 20  # of words that a Python worker remembers, with 300 bytes for each entry
 
 
 def byte_letters() -> list[str]:
@@ -144,18 +145,43 @@ class Vocabulary:
         return " ".join(self.names[i] for i in ids)
 
 
+class Words:
+    """Words that this Python worker has met: each one's number of ids, its ids and its decoded text."""
+
+    def __init__(self, known: Vocabulary):
+        self.known = known
+        self.met: dict[str, tuple[int, bytes, bytes]] = {}
+        self.size = 0
+
+    def converted(self, distinct: list[str]) -> list[tuple[int, bytes, bytes]]:
+        """The entry of each word; only words that are new here are merged."""
+        found = list(map(self.met.get, distinct))
+        new = [i for i, f in enumerate(found) if f is None]
+        for i, ids in zip(new, self.known.encode([distinct[i] for i in new]), strict=True):
+            found[i] = entry = (len(ids), " ".join(map(str, ids)).encode(), self.known.decode(ids).encode())
+            if self.size < KNOWN_BYTES:
+                self.met[distinct[i]] = entry
+                self.size += 300 + len(distinct[i]) + len(entry[1]) + len(entry[2])
+        return found
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@functools.lru_cache(maxsize=2)
+def met_words(path: str) -> Words:
+    return Words(vocabulary(path))
+
+
 def bpe_round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per document: id, n_tokens and digests of its ids and of their decoded text.
 
     ids_sha256 is taken over the decimal ids joined by one space, decoded_sha256 over the decoded
     text; ``with_ids`` adds the ids and the decoded text themselves. White space separates words
     and is dropped by the file's rules, so that the distinct words of a slice of rows are merged
-    together, once, and documents are put together from them.
+    together, those that the Python worker has not met before, and documents are put together from them.
 
     Null and empty texts have no ids and the digests of the empty string. Rows are independent:
     repeated rows give repeated results, an empty table gives none.
@@ -165,25 +191,25 @@ def bpe_round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "
     kind = rows.schema["__id"].dataType.simpleString()
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path)
+        known = met_words(path)
         for whole in batches:
             for batch in slices(whole, "__text"):
                 offsets, flat = words(filled(batch["__text"]))
                 codes, distinct = coded(flat)
-                lists = known.encode(distinct.to_pylist())
-                sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-                as_ids = [" ".join(map(str, ids)).encode() for ids in lists]
-                as_text = [known.decode(ids).encode() for ids in lists]
+                entries = known.converted(distinct.to_pylist())
+                sizes = np.fromiter((e[0] for e in entries), np.int64, len(entries))
+                as_ids, as_text = [e[1] for e in entries], [e[2] for e in entries]
+                every = bool(sizes.all())  # a word may have no token at all
                 counts, ids_hash, text_hash, all_ids, texts = [], [], [], [], []
                 for i in range(batch.num_rows):
                     own = codes[offsets[i] : offsets[i + 1]]
                     counts.append(int(sizes[own].sum()))
-                    full = [c for c in own.tolist() if as_ids[c]]  # a word may have no token at all
-                    decoded = b" ".join([as_text[c] for c in full])
-                    ids_hash.append(hashlib.sha256(b" ".join([as_ids[c] for c in full])).hexdigest())
+                    full = own.tolist() if every else own[sizes[own] > 0].tolist()
+                    decoded = b" ".join(map(as_text.__getitem__, full))
+                    ids_hash.append(hashlib.sha256(b" ".join(map(as_ids.__getitem__, full))).hexdigest())
                     text_hash.append(hashlib.sha256(decoded).hexdigest())
                     if with_ids:
-                        all_ids.append([t for c in full for t in lists[c]])
+                        all_ids.append([int(t) for c in full for t in as_ids[c].split()])
                         texts.append(decoded.decode())
                 columns = [batch["__id"], pa.array(counts, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
                 names = [id, "n_tokens", "ids_sha256", "decoded_sha256"]

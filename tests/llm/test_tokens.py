@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from chartloom.llm.batches import filled, slices, words
-from chartloom.llm.bpe import bpe_round_trip, vocabulary
+from chartloom.llm.bpe import Words, bpe_round_trip, vocabulary
 from chartloom.llm.packing import best_fit_packing, token_pieces, vector_best_fit
 from chartloom.llm.tokens import safe_parts, token_counts, word_ids
 
@@ -87,6 +87,15 @@ def test_round_trip_matches_the_library(docs, library, word_bpe):
         assert got[i].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_words_are_merged_once(word_bpe, monkeypatch):
+    known, merged = vocabulary(word_bpe), []
+    monkeypatch.setattr(type(known), "encode", lambda self, words, encode=type(known).encode: merged.extend(words) or encode(self, words))
+    words = Words(known)
+    first = words.converted(["Thing", "\u200b", "other"])
+    assert words.converted(["other", "Thing", "new"])[:2] == [first[2], first[0]]
+    assert merged == ["Thing", "\u200b", "other", "new"]
+
+
 def test_merges_of_equal_symbols_go_left_to_right(library, word_bpe):
     words = ["a" * n for n in range(1, 40)] + ["ab" * n for n in range(1, 20)]
     assert vocabulary(word_bpe).encode(words) == [ids_of(library, w) for w in words]
