@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from chartloom.functions.text import NUMBER, canonical_id, to_number
 from chartloom.operators.cohorts import cohort, matching, with_codes
@@ -202,18 +202,26 @@ def tiva_problem_list(cat: Catalog) -> DataFrame:
 
 @STAGES("analytics.tiva_medication_administrations")
 def tiva_medication_administrations(cat: Catalog) -> DataFrame:
-    """Administrations on any encounter of a case, labeled with the encounter's role."""
+    """Administrations on any encounter of a case, labeled with the encounter's role.
+
+    A role of a case mostly has one encounter. Equal rows of it then share that encounter, so they
+    are found where the join put them; only roles with several encounters are shuffled by row.
+    """
     encounters = unpivot_keys(
-        cat["analytics.tiva_cohort"],
+        cat["analytics.tiva_cohort"].repartition(*CASE),
         {label: canonical_id(F.col(column)) for label, column in ENCOUNTER_ROLES.items()},
         key="_encounter",
         label="medication_encounter_type",
         keep=CASE,
     )
+    role = Window.partitionBy(*CASE, "medication_encounter_type")
+    encounters = encounters.withColumn("_alone", F.min("_encounter").over(role) == F.max("_encounter").over(role))
     given = cat["clinical.medication_administration"].select(
         canonical_id(F.col("encounter_id")).alias("_encounter"), *MEDICATION_TEXT
     )
-    return encounters.join(given, "_encounter").drop("_encounter").distinct()
+    alone = encounters.where("_alone").drop("_alone").join(given, "_encounter").distinct().drop("_encounter")
+    several = encounters.where("NOT _alone").drop("_alone").join(given, "_encounter").drop("_encounter").distinct()
+    return alone.union(several)
 
 
 @STAGES("analytics.tiva_vital_signs")

@@ -112,6 +112,29 @@ def test_tiva_totals_double_unless_deduped(spark, tiva_tables):
     assert written["l1"][name] == 0 and written["l1"]["propofol_500mg_50ml_dose_unit"] is None
 
 
+def test_tiva_roles_with_several_encounters_keep_distinct_rows(spark, tiva_tables):
+    """Equal rows of a role are one, also from several encounters; a role with one encounter needs no shuffle by row."""
+    case = ("p", "10", "11", "c", "l", START, "GA")
+    shape = tiva.CONTRACTS["analytics.surgical_candidate_cohort"] + (
+        ", primary_anesthesia_encounter_id string, secondary_anesthesia_encounter_id string, inpatient_data_id string"
+    )
+    tables = {
+        "analytics.tiva_cohort": ([case + ("12", "13", "I"), case + ("14", "13", "J")], shape),
+        "clinical.medication_administration": _medication([("12", "A", "a", "1", "mg"), ("14", "A", "a", "1", "mg"), ("13", "B", "b", "1", "mg"), ("013", "B", "b", "1", "mg"), ("14", "C", "c", "1", "mg")]),
+    }
+    out = catalog(spark, tiva, tables)["analytics.tiva_medication_administrations"]
+    got = sorted((r.medication_encounter_type.split()[0], r.medication_id) for r in out.collect())
+    assert got == [("Primary", "A"), ("Primary", "C"), ("Secondary", "B")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(out.select("*"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by_row = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and any(c in line for c in tiva.MEDICATION_TEXT)]
+    assert len(by_row) < plan.count("SortMergeJoin")
+
+
 def test_tiva_medications_by_role(spark, tiva_tables):
     got = catalog(spark, tiva, tiva_tables)["analytics.tiva_medication_administrations"].collect()
     ketamine = [r.medication_encounter_type for r in got if r.medication_id == "KETAMINE"]

@@ -201,3 +201,11 @@ def test_compact_files_are_not_broadcast(spark, tmp_path):
     rows = spark.range(1_000_000).select(F.pmod(F.hash("id"), F.lit(5000)).alias("k"))
     rows.coalesce(1).write.parquet(f"{tmp_path}/rows")
     assert "Broadcast" not in plan_of(spark.range(10**7).join(spark.read.parquet(f"{tmp_path}/rows"), F.col("id") == F.col("k")))
+
+
+def test_scans_are_cut_finer_than_shuffles(spark):
+    """Rows grow when they are read: a task's must fit the buffer of the shuffle's writer, or all of them spill."""
+    from chartloom.session import SETTINGS
+
+    size = {name: int(SETTINGS[name].removesuffix("m")) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    assert 4 * size["spark.sql.files.maxPartitionBytes"] <= size["spark.sql.adaptive.advisoryPartitionSizeInBytes"]
