@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,36 @@ SLICE_BYTES = 4 << 20  # text handled at once inside a task
 SPACES = b" \t\n\x0b\x0c\r"
 
 
+_FORGET: dict[str, Callable[[], None]] = {}  # by name of a memory: how this Python worker drops it
+
+
+def remembered(name: str, forget: Callable[[], None]) -> None:
+    """Let tasks that do not use the memory ``name`` drop it with ``forget``."""
+    _FORGET[name] = forget
+
+
+def settled(work: Callable[[Iterator], Iterator], memory: str = "") -> Callable[[Iterator], Iterator]:
+    """``work`` on batches, for Python workers that serve one operator after another.
+
+    A task first drops what the worker remembers for operators other than those with ``memory``,
+    and at its end gives the memory it has freed back to the system, which pools would keep.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        for name, forget in _FORGET.items():
+            if name != memory:
+                forget()
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def filled(column: pa.Array) -> pa.Array:
     """Texts with null read as empty, in buffers of their own.
 

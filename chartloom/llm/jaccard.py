@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,15 +40,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import coded, filled, slices, spread, words
+from .batches import coded, filled, settled, slices, spread, words
 from .components import components
-from .shared import cut, sent_if_small, stored
+from .shared import cut, dropped, sent_if_small, shuffles_released, stored
 
 SHARE = 0.25
 HOT = 32
 SIZES = (1, 2, 4, 8)  # what l is chosen from
 LEAST_ROUNDS, MOST_ROUNDS = 1, 12  # of verification against single documents; more save pairs, none change results
 SKETCH = 256
+PASS_SHINGLES, PASSES = 1_000_000, 4  # more shingles than these are counted in several passes over ranges of hashes
 SLICE_BYTES = 2 << 20  # of text hashed at once; its words and shingles take many times that
 BOUND = int(SHARE * 2**64) - 2**63  # hashes are stored as signed numbers, in the same order
 
@@ -112,7 +114,7 @@ def set_summaries(docs: DataFrame, width: int) -> DataFrame:
                     names=["id", "n", "digest", "sketch", "head"],
                 )
 
-    return docs.mapInArrow(summarise, f"id {docs.schema['id'].dataType.simpleString()}, n long, digest binary, sketch array<long>, head array<long>")
+    return docs.mapInArrow(settled(summarise), f"id {docs.schema['id'].dataType.simpleString()}, n long, digest binary, sketch array<long>, head array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -124,7 +126,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
                 values, offsets = shingle_sets(filled(batch["text"]), width)
                 yield pa.RecordBatch.from_arrays([batch["id"], _lists(values, offsets)], names=["id", "shingles"])
 
-    return docs.mapInArrow(sets, f"id {docs.schema['id'].dataType.simpleString()}, shingles array<long>")
+    return docs.mapInArrow(settled(sets), f"id {docs.schema['id'].dataType.simpleString()}, shingles array<long>")
 
 
 def _needed(percent: int) -> Column:
@@ -161,17 +163,34 @@ def _within(size: Column) -> Column:
     return F.filter("entries", lambda e: e["place"] < size)
 
 
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """(row, token, count) of the counted shingles that several documents hold.
+
+    Hashes are taken in ranges, one after the other, so that the disk holds the shuffles of one
+    range at a time and not those of all. Every range covers all documents.
+    """
+    head = sets.where("n > 0").select("row", "head")
+    many = (head.agg(F.sum(F.size("head"))).first()[0] or 0) > PASS_SHINGLES
+    least, width = -(2**63), int(SHARE * 2**64)
+    edges = [least + width * k // PASSES for k in range(PASSES + 1)] if many else [least, BOUND]
+    parts = []
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        rows = head.select("row", F.explode(F.filter("head", lambda s: (s >= F.lit(low)) & (s < F.lit(high)))).alias("token"))
+        counts = rows.groupBy("token").agg(F.count("*").alias("count")).where("count >= 2")
+        parts.append(stored(rows.join(counts, "token").select("row", "token", "count")))
+    return reduce(DataFrame.union, parts)
+
+
 def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(token, id, n, l, place, early, sketch) of all prefixes, without tokens that only one document has; and the full sets needed.
 
     ``sets`` has (row, n, head) of all documents; ``nodes`` (row, id, n, n_head, sketch) of one for each
-    distinct set; ``texts`` the rows (id, text) to read full sets from.
+    distinct set; ``texts`` the rows (id, text) to read full sets from. Stored ``sets`` are deleted once they are counted.
     """
     rare = F.col("count") < HOT
-    rows = sets.where("n > 0").select("row", F.explode("head").alias("token"))
-    counts = rows.groupBy("token").agg(F.count("*").alias("count")).where("count >= 2")
     entry = F.struct("count", "token")
-    shared = rows.join(counts, "token").groupBy("row").agg(
+    found = shared_shingles(sets)
+    shared = found.groupBy("row").agg(
         F.collect_list(F.when(rare, entry)).alias("rare"), F.collect_list(F.when(~rare, entry)).alias("hot"),
         F.count(F.when(rare, 1)).alias("n_rare"), F.count(F.when(~rare, 1)).alias("n_hot"),
     )
@@ -184,7 +203,8 @@ def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     # shingles of one document come first in class 0, and need no entry
     first = F.col("n_head") - F.col("n_hot") - F.col("n_rare")
     known = known.where(~F.col("enough") | ((F.col("n_rare") > 0) & (first < longest)))
-    known = cut(known.withColumn("rare", _with_places(F.sort_array("rare"), first)))
+    known = stored(known.withColumn("rare", _with_places(F.sort_array("rare"), first)))
+    dropped(found, sets)
 
     ids = sent_if_small(known.select("id"))
     full = stored(full_sets(texts.join(ids, "id", "left_semi"), width))
@@ -201,7 +221,8 @@ def prefixes(sets: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     best, base = _chosen_prefix(percent)
     # Written before the entries are spread out, or l would be computed again for each of them.
     chosen = every.select("id", "n", "sketch", best.alias("l"), "entries")
-    chosen = cut(chosen.select("id", "n", "sketch", "l", _within(base + F.col("l")).alias("entries")))
+    chosen = stored(chosen.select("id", "n", "sketch", "l", _within(base + F.col("l")).alias("entries")))
+    dropped(known)
     chosen = chosen.select("id", "n", "sketch", "l", F.explode("entries").alias("entry"))
     early = F.col("entry.place") < F.col("n") - _least_overlap(F.col("n"), F.col("n"), percent) + F.col("l")
     return chosen.select("id", "n", "l", "entry.token", "entry.place", early.alias("early"), "sketch"), full
@@ -232,7 +253,8 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
     """
     early = F.count(F.when(F.col("early"), 1))
     sizes = postings.groupBy("token").agg(F.count("*").alias("c"), early.alias("e")).where("c >= 2 AND e >= 1").select("token")
-    rows = cut(postings.join(sizes, "token").withColumn("label", F.col("id")))
+    rows = stored(postings.join(sizes, "token").withColumn("label", F.col("id")))
+    dropped(postings)
     total = rows.count()
     links, fruitful = None, True
     for turn in range(MOST_ROUNDS):
@@ -260,7 +282,8 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
         onward = onto.select(F.col("from").alias("to"), F.col("to").alias("next"))
         onto = onto.join(onward, "to", "left").select(F.col("from").alias("label"), F.coalesce("next", "to").alias("to"))
         # labels only merge, so a bucket of one label is done with
-        rows = cut(mixed.join(onto, "label", "left").withColumn("label", F.coalesce("to", "label")).select(*rows.columns))
+        before, rows = rows, stored(mixed.join(onto, "label", "left").withColumn("label", F.coalesce("to", "label")).select(*rows.columns))
+        dropped(before)
     both = rows.join(main.select("token", "main"), "token")
     columns = ("id", "n", "l", "place", "early", "label", "sketch")
     minor = both.where("label <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
@@ -270,7 +293,9 @@ def similar_links(postings: DataFrame, full: DataFrame, percent: int) -> DataFra
     pairs = minor.where("early_a").join(every, "token").where(apart).unionByName(minor.where("NOT early_a").join(every.where("early_b"), "token").where(apart))
     enough = F.count("*") >= F.min(F.least("l_a", "l_b"))
     pairs = pairs.groupBy(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).agg(enough.alias("enough")).where("enough")
-    return links.union(cut(verified(pairs, full, percent)))
+    links = links.union(cut(verified(pairs, full, percent)))
+    dropped(rows, full)
+    return links
 
 
 def _may_link(a, b, percent: int) -> Column:
@@ -301,14 +326,16 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
     searched. A null id is no node of its own; its row gets the class of its set. An empty table gives no rows.
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    sets = stored(set_summaries(rows, width).withColumn("row", F.monotonically_increasing_id()))
-    slim = sets.select("row", "id", "n", "digest", "sketch", F.size("head").alias("n_head"))
-    able = slim.where("n > 0 AND id IS NOT NULL")
-    classes = cut(able.groupBy("digest").agg(F.min(F.struct("id", "row", "n", "n_head", "sketch")).alias("first")).select("digest", "first.*").withColumnRenamed("id", "class_id"))
-    nodes = classes.groupBy("class_id").agg(F.min_by(F.struct("row", "n", "n_head", "sketch"), "row").alias("first")).select(F.col("class_id").alias("id"), "first.*")
-    postings, full = prefixes(sets, nodes, rows, width, percent)
-    links = similar_links(postings, full, percent)
-    groups = components(links).select(F.col("id").alias("class_id"), "component")
+    with shuffles_released(docs.sparkSession):
+        sets = stored(set_summaries(rows, width).withColumn("row", F.monotonically_increasing_id()))
+        slim = stored(sets.select("id", "n", "digest"))
+        able = sets.select("row", "id", "n", "digest", "sketch", F.size("head").alias("n_head")).where("n > 0 AND id IS NOT NULL")
+        classes = able.groupBy("digest").agg(F.min(F.struct("id", "row", "n", "n_head", "sketch")).alias("first")).select("digest", "first.*")
+        classes = stored(classes.withColumnRenamed("id", "class_id"))
+        nodes = classes.groupBy("class_id").agg(F.min_by(F.struct("row", "n", "n_head", "sketch"), "row").alias("first")).select(F.col("class_id").alias("id"), "first.*")
+        postings, full = prefixes(sets, nodes, rows, width, percent)
+        links = similar_links(postings, full, percent)
+        groups = components(links).select(F.col("id").alias("class_id"), "component")
     named = slim.select("id", "n", "digest").join(classes.select("digest", "class_id"), "digest", "left")
     named = named.withColumn("class_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")))
     named = named.join(groups, "class_id", "left")

@@ -1,6 +1,7 @@
 """Exact and near duplicates of texts and vectors against brute force."""
 
 import hashlib
+import pathlib
 import random
 import re
 
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.components import components
 from chartloom.llm.exact import exact_duplicates
+from chartloom.llm import jaccard, shared
 from chartloom.llm.jaccard import near_duplicate_groups, sketches
+from chartloom.llm.shared import dropped, shuffles_released, stored
 from chartloom.llm.vectors import bucket_codes, hadamard, near_duplicate_vectors, plan_for
 
 
@@ -220,3 +223,32 @@ def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 64))
     assert np.allclose((hadamard(x) ** 2).sum(axis=1), (x**2).sum(axis=1))
     assert np.allclose(hadamard(hadamard(x)), x)
+
+
+def test_near_duplicates_keep_no_rows_that_the_result_does_not_read(docs, spark, monkeypatch, tmp_path):
+    """Shingle sets, postings and full sets of every round stayed on the disk before."""
+    monkeypatch.setattr(jaccard, "PASS_SHINGLES", 10)  # several passes, on a small table too
+    rnd = random.Random(8)
+    base = [" ".join(rnd.choice("abcdefghij") + str(rnd.randrange(40)) for _ in range(60)) for _ in range(20)]
+    rows = [(i, base[i % 20] + " end" * (i // 20)) for i in range(60)] + [(90, None), (91, "")]
+    shared.shared_folder(spark)  # checkpoints need one
+    monkeypatch.setattr(shared, "shared_folder", lambda _: str(tmp_path))
+    found = near_duplicate_groups(docs(rows), width=4, percent=85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == near_brute(rows, 4, 85)
+    read = {f.rsplit("/", 1)[0].rsplit("/", 1)[1] for f in found.inputFiles()}
+    assert {p.name for p in tmp_path.iterdir()} == {r for r in read if r.startswith("chartloom-llm-rows-")}
+
+
+def test_steps_release_their_shuffles_and_rows(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    with shuffles_released(spark):
+        assert spark.conf.get(setting) == "true"
+        rows = stored(spark.range(50).repartition(3))
+    assert spark.conf.get(setting) == before and rows.count() == 50
+    path = f"{tmp_path}/given"
+    rows.write.parquet(path)
+    files = rows.inputFiles()
+    dropped(rows, spark.read.parquet(path))  # rows that stored did not write stay
+    assert not [f for f in files if pathlib.Path(f.removeprefix("file://")).exists()]
+    assert spark.read.parquet(path).count() == 50
