@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .batches import coded, filled, row_sums, slices, words
+from .batches import coded, filled, row_sums, settled, slices, words
 from .shared import cut
 
 START = "▁"  # how the vocabulary marks the beginning of a word
@@ -177,7 +177,7 @@ def fit(
                 table = table.group_by(["lang", "word"]).aggregate([([], "count_all")])
                 yield from table.select(["lang", "word", "count_all"]).rename_columns(["lang", "word", "n"]).to_batches()
 
-    words_of = sample.select("text", "lang").mapInArrow(count, "lang string, word string, n long")
+    words_of = sample.select("text", "lang").mapInArrow(settled(count), "lang string, word string, n long")
     counts = cut(words_of.groupBy("lang", "word").agg(F.sum("n").alias("n")).repartition(FIT_TASKS))
     names = tuple(sorted(sizes))
     n_pieces = len(piece_keys(vocabulary))
@@ -199,7 +199,7 @@ def fit(
                     names=["language", "piece", "n"],
                 )
 
-        sums = counts.mapInArrow(expect, "language int, piece int, n double").groupBy("language", "piece").agg(F.sum("n").alias("n"))
+        sums = counts.mapInArrow(settled(expect), "language int, piece int, n double").groupBy("language", "piece").agg(F.sum("n").alias("n"))
         got = sums.toPandas()  # at most languages x pieces rows
         raw = np.zeros_like(chances)
         raw[got["language"].to_numpy(), got["piece"].to_numpy()] = got["n"].to_numpy()
@@ -249,7 +249,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str, keep: list[C
                     [*(batch[c] for c in fixed), pa.array(names, pa.string()), pa.array(score)], names=[*fixed, "lang_pred", "score"]
                 )
 
-    return rows.mapInArrow(judge, schema)
+    return rows.mapInArrow(settled(judge), schema)
 
 
 def held_out(id: str) -> Column:

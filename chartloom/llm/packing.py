@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .batches import coded, filled, slices, spread, words
+from .batches import coded, filled, settled, slices, spread, words
 from .shared import stored
-from .tokens import encode_texts, splits_at_spaces, word_ids
+from .tokens import MEMORY, encode_texts, splits_at_spaces, word_ids
 
 SHARD_ROWS = 40_000
 SLICE_BYTES = 6 << 20
@@ -63,7 +63,7 @@ def token_pieces(docs: DataFrame, path: str, id: str = "doc_id", text: str = "te
                     names=[id, "piece", "start", "length", "ids_crc32"],
                 )
 
-    return rows.mapInArrow(cut_up, f"`{id}` {kind}, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(settled(cut_up, MEMORY), f"`{id}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def vector_best_fit(

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import SPACES, coded, filled, row_sums, slices, spread, words
+from .batches import SPACES, coded, filled, remembered, row_sums, settled, slices, spread, words
 
 PART_BYTES = 1 << 20  # a longer text is encoded in parts
 ENCODE_BYTES = 1 << 18  # texts given to the tokenizer at once
@@ -99,6 +99,16 @@ def _folds(path: str) -> bool:
 
 _KNOWN: dict[str, dict[str, bytes]] = {}  # by file: ids of words that this Python worker has met
 _KNOWN_SIZE: dict[str, int] = {}
+MEMORY = "token ids"
+
+
+def _forget() -> None:
+    _KNOWN.clear()
+    _KNOWN_SIZE.clear()
+    _tokenizer.cache_clear()
+
+
+remembered(MEMORY, _forget)
 
 
 def _known_ids(path: str, texts: list[str]) -> list[bytes]:
@@ -182,7 +192,7 @@ def with_token_counts(docs: DataFrame, path: str, text: str, keep: list[Column],
                     names=[c for c in batch.schema.names if c != "__text"] + ["n_bytes", "n_tokens", "over_limit"],
                 )
 
-    return rows.mapInArrow(count, schema)
+    return rows.mapInArrow(settled(count, MEMORY), schema)
 
 
 def token_counts(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", limit: int = 2048) -> DataFrame:

@@ -10,7 +10,8 @@ import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
-from chartloom.llm.batches import filled, slices, words
+from chartloom.llm import tokens
+from chartloom.llm.batches import filled, settled, slices, words
 from chartloom.llm.bpe import Words, bpe_round_trip, vocabulary
 from chartloom.llm.packing import best_fit_packing, token_pieces, vector_best_fit
 from chartloom.llm.tokens import safe_parts, token_counts, word_ids
@@ -153,3 +154,11 @@ def test_slices_of_a_batch_keep_their_texts():
         offsets, flat = words(own)
         seen += [flat.to_pylist()[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
     assert seen == [(t or "").split() for t in texts]
+
+
+def test_tasks_of_other_operators_drop_the_words_a_worker_remembers(word_bpe):
+    word_ids(word_bpe, pa.array(["some", "words"], pa.large_string()))
+    assert list(settled(iter, tokens.MEMORY)([1, 2])) == [1, 2]
+    assert tokens._KNOWN[word_bpe]
+    assert list(settled(iter)([3])) == [3]
+    assert not tokens._KNOWN and not tokens._KNOWN_SIZE
