@@ -16,7 +16,7 @@ from .shared import stored
 from .tokens import MEMORY, encode_texts, splits_at_spaces, word_ids
 
 SHARD_ROWS = 40_000
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20  # words take many times their text in arrays, and tasks of an executor hold theirs at once
 
 
 def token_pieces(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", size: int = 4096, end_id: int = 1) -> DataFrame:
@@ -29,39 +29,46 @@ def token_pieces(docs: DataFrame, path: str, id: str = "doc_id", text: str = "te
     rows = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"))
     kind = rows.schema["__id"].dataType.simpleString()
 
+    def pieces_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Of one slice; what it needed meanwhile is gone before the next slice is read."""
+        place, ids = _ids(filled(batch["__text"]))
+        rest = np.diff(place) + 1  # with the end id
+        ends = np.cumsum(rest)
+        whole_ids = np.full(int(ends[-1]), end_id, "<u4")
+        own = np.ones(len(whole_ids), bool)
+        own[ends - 1] = False
+        whole_ids[own] = ids
+        pieces = -(-rest // size)
+        row = np.repeat(np.arange(len(rest)), pieces)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = piece * size
+        length = np.minimum(rest[row] - start, size)
+        first = (ends - rest)[row] + start
+        view = memoryview(whole_ids).cast("B")
+        crc = [zlib.crc32(view[4 * a : 4 * (a + n)]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [batch["__id"].take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
+            names=[id, "piece", "start", "length", "ids_crc32"],
+        )
+
+    def _ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of the texts and their ids one after the other."""
+        if not by_word:
+            lists = encode_texts(path, texts.to_pylist())
+            place = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+            return place, np.fromiter((i for x in lists for i in x), np.uint32, int(place[-1]))
+        offsets, flat = words(texts)
+        codes, distinct = coded(flat)
+        del flat
+        ids, bounds = word_ids(path, distinct)
+        sizes = np.diff(bounds)[codes]
+        place = np.concatenate([[0], np.cumsum(sizes)])[offsets]
+        return place, ids[spread(bounds[codes], sizes)]
+
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "__text", SLICE_BYTES):
-                texts = filled(batch["__text"])
-                if by_word:
-                    offsets, flat = words(texts)
-                    codes, distinct = coded(flat)
-                    ids, bounds = word_ids(path, distinct)
-                    sizes = np.diff(bounds)[codes]
-                    place = np.concatenate([[0], np.cumsum(sizes)])[offsets]
-                    ids = ids[spread(bounds[codes], sizes)]
-                else:
-                    lists = encode_texts(path, texts.to_pylist())
-                    place = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-                    ids = np.fromiter((i for x in lists for i in x), np.uint32, int(place[-1]))
-                rest = np.diff(place) + 1  # with the end id
-                ends = np.cumsum(rest)
-                whole_ids = np.full(int(ends[-1]), end_id, "<u4")
-                own = np.ones(len(whole_ids), bool)
-                own[ends - 1] = False
-                whole_ids[own] = ids
-                pieces = -(-rest // size)
-                row = np.repeat(np.arange(len(rest)), pieces)
-                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                start = piece * size
-                length = np.minimum(rest[row] - start, size)
-                first = (ends - rest)[row] + start
-                view = memoryview(whole_ids).cast("B")
-                crc = [zlib.crc32(view[4 * a : 4 * (a + n)]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch["__id"].take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
-                    names=[id, "piece", "start", "length", "ids_crc32"],
-                )
+                yield pieces_of(batch)
 
     return rows.mapInArrow(settled(cut_up, MEMORY), f"`{id}` {kind}, piece int, start long, length long, ids_crc32 long")
 

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
-from chartloom.llm import tokens
+from chartloom.llm import packing, tokens
 from chartloom.llm.batches import filled, settled, slices, words
 from chartloom.llm.bpe import Words, bpe_round_trip, vocabulary
 from chartloom.llm.packing import best_fit_packing, token_pieces, vector_best_fit
@@ -162,3 +162,16 @@ def test_tasks_of_other_operators_drop_the_words_a_worker_remembers(word_bpe):
     assert tokens._KNOWN[word_bpe]
     assert list(settled(iter)([3])) == [3]
     assert not tokens._KNOWN and not tokens._KNOWN_SIZE
+
+
+def test_a_slice_of_texts_is_let_go_before_the_next(docs, word_bpe, monkeypatch):
+    work, text = [], "many words " * 50_000
+    monkeypatch.setattr(packing, "settled", lambda cut_up, memory: work.append(cut_up) or cut_up)
+    monkeypatch.setattr(packing, "SLICE_BYTES", len(text))
+    token_pieces(docs([(1, "a")]), word_bpe)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([text] * 3)], names=["__id", "__text"])
+    before, n = pa.total_allocated_bytes(), 0
+    for pieces in work[0](iter([batch])):
+        n += pieces.num_rows
+        assert pa.total_allocated_bytes() - before < len(text)
+    assert n == 3 * -(-100_001 // 4096)
