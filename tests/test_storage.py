@@ -1,12 +1,15 @@
 """Versions of stored datasets, cohorts tied to their inputs, and bucketed stores."""
 
 import os
+import time
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from chartloom.operators.reports import stored_report
 from chartloom.plans import site_b
+from chartloom.sources import sinks
 from chartloom.sources.catalog import Catalog, table_sources
 from chartloom.sources.files import facts, read_text, replace_text
 from chartloom.sources.sinks import ParquetSink, TableSink
@@ -209,3 +212,53 @@ def test_scans_are_cut_finer_than_shuffles(spark):
 
     size = {name: int(SETTINGS[name].removesuffix("m")) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
     assert 4 * size["spark.sql.files.maxPartitionBytes"] <= size["spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+
+
+def test_stored_rows_leave_no_shuffle_files(spark, tmp_path):
+    """Else the disk holds the shuffles of every step at once."""
+
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|")
+        return {f for f in blocks.split("|") if "shuffle_" in f}
+
+    before = spark.conf.get(sinks.SHUFFLES_GO)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    there = files()
+    plain = ParquetSink(spark, str(tmp_path)).publish("plain", counted)
+    dealt = sinks.stored_by(counted.repartition(3, "k"), "k", 3)
+    assert files() <= there and spark.conf.get(sinks.SHUFFLES_GO) == before
+    assert found(plain) == found(dealt) == [(k, 143 if k < 6 else 142) for k in range(7)]
+
+
+def test_rows_dealt_by_the_caller_are_stored_in_buckets(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(200).select(F.col("id").cast("string").alias("k"), "id")
+        sides = [sinks.stored_by(rows.withColumnRenamed("id", n).repartition(5, "k"), "k", 5) for n in "ab"]
+        joined = sides[0].join(sides[1], "k", "left")
+        assert joined.where("a = b").count() == 200 and "Exchange" not in plan_of(joined)
+        assert len({f.rsplit("_", 1)[1] for f in sides[0].inputFiles()}) <= 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_reported_datasets_are_stored_one_after_the_other(spark, tmp_path, monkeypatch):
+    """The disk holds the shuffles of one dataset at a time."""
+    running, most, publish = [], [], ParquetSink.publish
+
+    def slow(self, name, df, *args):
+        running.append(name)
+        most.append(len(running))
+        time.sleep(0.5)
+        try:
+            return publish(self, name, df, *args)
+        finally:
+            running.remove(name)
+
+    monkeypatch.setattr(ParquetSink, "publish", slow)
+    stages = {n: (lambda cat, k=k: cat["base"].where(F.col("n") < k)) for k, n in enumerate("abc")}
+    base = spark.range(4).toDF("n")
+    cat = Catalog(spark, {"base": lambda: base}, stages, shared="abc", workspace=ParquetSink(spark, str(tmp_path)))
+    report = stored_report(cat, {"A": "a", "B": "b", "C": "c"}, distinct="n")
+    assert [tuple(r) for r in report.collect()] == [("A", 0, 0), ("B", 1, 1), ("C", 2, 2)]
+    assert len(most) == 3 and max(most) == 1
