@@ -35,9 +35,11 @@ def stored_report(cat: Catalog, datasets: Mapping[str, str], distinct: str | Non
     """The same report over stages that ``cat`` stores; ``datasets`` maps a label to a stage.
 
     Rows were counted while the datasets were written, so they are not read again; distinct keys
-    come from one aggregate over the stored key columns.
+    come from one aggregate over the stored key columns. Datasets are stored one after the other, so
+    that the disk holds the shuffles of one of them.
     """
-    cat.keep(datasets.values())
+    for stage in datasets.values():
+        cat.keep([stage])
     counted = cat.spark.createDataFrame([(label, cat.rows(stage)) for label, stage in datasets.items()], "dataset string, record_count long")
     if not distinct:
         return counted.orderBy("dataset")
