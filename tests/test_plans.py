@@ -198,6 +198,62 @@ def test_case_model_fans_out_unless_deduped(spark):
     assert not {"patient_identifier", "primary_surgeons", "procedure_display_names"} & set(hidden.columns)
 
 
+CASE_NAMES = [c.strip().split()[0] for c in broker.CONTRACTS["source_ehr.surgical_cases"].split(",")]
+
+
+def _cases_of_logs(**more):
+    """Three cases: of a log, of the same log, and of none."""
+    ids = [("k1", "l"), ("k2", "l"), ("k3", None)]
+    rows = [{"patient_id": "p", "surgical_encounter_id": "s", "surgical_case_id": k, "surgical_log_id": log, "anesthesia_encounter_id": "n"} for k, log in ids]
+    contract = broker.CONTRACTS
+    return {
+        "source_ehr.surgical_cases": ([tuple({**dict.fromkeys(CASE_NAMES), **r}[n] for n in CASE_NAMES) for r in rows], contract["source_ehr.surgical_cases"]),
+        "research_build.patient_crosswalk": ([("p", "R", "M")], "patient_id string, research_patient_number string, medical_record_number string"),
+        "research_build.encounter_crosswalk": ([("s", "m", "se")], contract["research_build.encounter_crosswalk"]),
+        "source_ehr.anesthesia_events": ([("e", "INDUCTION", START)], contract["source_ehr.anesthesia_events"]),
+        "source_ehr.anesthesia_event_patients": ([("e", "p", "n")], contract["source_ehr.anesthesia_event_patients"]),
+        "source_ehr.anesthesia_case_staff": ([("k3", "1", "d1", 1), (None, "1", "d1", 1)], contract["source_ehr.anesthesia_case_staff"]),
+        "source_ehr.surgical_case_staff": ([("l", "1", "d1", 2), (None, "1", "d1", 2)], contract["source_ehr.surgical_case_staff"]),
+        "source_ehr.surgical_log_procedures": ([("l", "x", "X", None, 1), (None, "x", "X", None, 1)], contract["source_ehr.surgical_log_procedures"]),
+        "reference.surgical_procedures": ([("x", "Excision")], contract["reference.surgical_procedures"]),
+        "reference.anesthesia_staff_roles": ([("1", "CRNA")], contract["reference.anesthesia_staff_roles"]),
+        "reference.providers": ([("d1", "Dee")], "provider_id string, provider_name string"),
+        **more,
+    }
+
+
+def test_cases_without_a_log_keep_their_staff_and_have_no_procedures(spark):
+    got = {r.surgical_case_id: r for r in catalog(spark, broker, _cases_of_logs())[broker.CASES].collect()}
+    assert {k: r.procedure_names for k, r in got.items()} == {"k1": ["Excision"], "k2": ["Excision"], "k3": None}
+    assert {k: r.all_surgeons for k, r in got.items()} == {"k1": ["Dee"], "k2": ["Dee"], "k3": None}
+    assert {k: r.crnas for k, r in got.items()} == {"k1": None, "k2": None, "k3": ["Dee"]}
+    assert {r.induction_datetime for r in got.values()} == {START}
+
+
+def test_published_rollups_are_read_by_the_case_model(spark):
+    staff = catalog(spark, broker, _cases_of_logs())
+    names = ("temp_procedure_rollup", "temp_surgeon_rollup", "temp_anesthesia_staff_rollup")
+    rows = {n: ([r.asDict() for r in staff[n].collect()], staff[n].schema) for n in names}
+    for part, column in zip(rows.values(), ("procedure_names", "all_surgeons", "crnas")):
+        for r in part[0]:
+            r[column] = ["other"]
+    got = {r.surgical_case_id: r for r in catalog(spark, broker, _cases_of_logs(**rows))[broker.CASES].collect()}
+    assert {k: r.procedure_names for k, r in got.items()} == {"k1": ["other"], "k2": ["other"], "k3": None}
+    assert {k: (r.all_surgeons, r.crnas) for k, r in got.items()} == {"k1": (["other"], None), "k2": (["other"], None), "k3": (None, ["other"])}
+
+
+def test_the_case_model_shuffles_no_side_of_a_log_when_it_is_read(spark):
+    """Its sides were stored one after the other, each with its own shuffles, which are gone by then."""
+    for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(setting, "-1")
+    try:
+        plan = plan_of(catalog(spark, broker, _cases_of_logs())[broker.CASES])
+    finally:
+        for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(setting)
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3
+
+
 def test_hidden_cases_and_their_numbers_need_no_staff_rollups(spark, monkeypatch):
     """Ids come from the known cases; a model that is stored is still read instead."""
     names = [c.strip().split()[0] for c in broker.CONTRACTS["source_ehr.surgical_cases"].split(",")]
