@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from chartloom.operators.lookups import lookup_columns
 from chartloom.operators.skew import ranked
-from chartloom.sources.sinks import stored
+from chartloom.sources.sinks import dropped, stored
 
 
 def distinct_ids(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
@@ -26,8 +26,10 @@ def extend_crosswalk(known: DataFrame | None, ids: DataFrame, order: Callable[[C
     change it; a given one is computed from the stored ids, and neither is kept with the numbers.
     """
     new = ids if known is None else ids.join(known.select("kind", "id"), ["kind", "id"], "left_anti")
-    drawn = stored(new.withColumn("_order", F.rand())) if order is None else stored(new).withColumn("_order", order(F.col("id")))
-    numbered = ranked(drawn, ["kind"], "_order", name="number", kind="long", without=["_order"])
+    drawn = stored(new.withColumn("_order", F.rand()) if order is None else new)
+    ordered = drawn if order is None else drawn.withColumn("_order", order(F.col("id")))
+    numbered = ranked(ordered, ["kind"], "_order", name="number", kind="long", without=["_order"])
+    dropped(drawn)  # the ranking has stored them in order
     if known is None:
         return numbered
     last = known.groupBy("kind").agg(F.max("number").alias("_last"))  # a row per kind

@@ -1,6 +1,6 @@
 """Datasets on small clinical tables with hand-computed results, and storage."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -275,6 +275,17 @@ def test_hidden_cases_and_their_numbers_need_no_staff_rollups(spark, monkeypatch
     assert {r.id for r in catalog(spark, broker, published)[numbers].collect()} == {"other", "l", "se"}
 
 
+def test_hidden_cases_and_their_numbers_read_the_known_cases_once(spark, monkeypatch):
+    from chartloom.sources import catalog as catalogs
+
+    kept, store = [], catalogs.stored
+    monkeypatch.setattr(catalogs, "stored", lambda df: kept.append(df) or store(df))
+    cat = catalog(spark, broker, _cases_of_logs(**{"research_build.deidentified_crosswalk": ([("R", "D", 3)], broker.CONTRACTS["research_build.deidentified_crosswalk"])}))
+    hidden = cat["research_access.deidentified_surgical_cases"].collect()
+    assert len(hidden) == 3 and {r.induction_datetime for r in hidden} == {START + timedelta(days=3)}
+    assert len(kept) == 1 and not {"medical_record_number", "location_id"} & set(kept[0].columns)
+
+
 def test_referral_cancel_rule_and_sentinel(spark):
     """An order without status is dropped; a sentinel hides the other source's date."""
     tables = {

@@ -262,3 +262,10 @@ def test_reported_datasets_are_stored_one_after_the_other(spark, tmp_path, monke
     report = stored_report(cat, {"A": "a", "B": "b", "C": "c"}, distinct="n")
     assert [tuple(r) for r in report.collect()] == [("A", 0, 0), ("B", 1, 1), ("C", 2, 2)]
     assert len(most) == 3 and max(most) == 1
+
+
+def test_dropped_rows_are_gone_and_others_stay(spark):
+    one, two = sinks.stored(spark.range(3)), sinks.stored(spark.range(4))
+    gone, left = (df.inputFiles()[0].removeprefix("file://") for df in (one, two))
+    sinks.dropped(one)
+    assert not os.path.exists(gone) and os.path.exists(left) and two.count() == 4
