@@ -293,3 +293,15 @@ def test_harmonized_key_and_types(rows):
     assert found(got) == [("A", "1", "x", None), ("B", "2", None, 5)]
     with pytest.raises(ValueError):
         harmonize({"A": (a, {"other": F.col("id")})}, {"key": "string"})
+
+
+def test_an_anchor_is_shuffled_for_few_cells(rows, monkeypatch):
+    from chartloom.operators import windows
+
+    seen, explode = [], F.explode
+    monkeypatch.setattr(windows.F, "explode", lambda cells: seen.append(cells) or explode(cells))
+    anchors = rows([("p", date(2000, 1, day)) for day in range(1, 29)], "k string, d date")
+    records = rows([("p", date(2000, 1, day)) for day in range(1, 29)], "k string, e date")
+    for spans, pairs in ((("1 DAY", None), 55), (("2 YEARS", "1 YEAR"), 28 * 28)):
+        assert within_window(anchors, records, "k", "d", "e", *spans).count() == pairs
+        assert anchors.select(F.max(F.size(seen.pop()))).first()[0] <= 3
